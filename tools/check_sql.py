@@ -28,6 +28,7 @@ def main() -> int:
     prefixes = tuple(sys.argv[2:]) or ("",)
     spark = (
         SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "16g")
         .getOrCreate()
     )

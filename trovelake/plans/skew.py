@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,7 +19,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Size estimate of the optimized plan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -74,22 +74,22 @@ def numbered(rows: DataFrame, key: list[str], order: list[str], split: list[str]
     return normal.unionByName(split_up.select(normal.columns))
 
 
-def nested(rows: DataFrame, key: list[str], entry: Column, name: str,
-           page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Collect entries per group into sorted arrays of bounded length.
+def page_counts(rows: DataFrame, key: list[str], page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, pages) of the groups that need more than one page."""
+    return hot_groups(rows, key, page_rows).select(
+        *key, F.ceil(F.col("group_rows") / page_rows).cast("int").alias("pages"))
+
+
+def nested(rows: DataFrame, key: list[str], name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Collect the ``entry`` column per group into sorted arrays of bounded size.
 
     Gives (key, page, name). A group within ``page_rows`` is one array on page
     0. A larger one is spread over as many pages as it needs, by a hash of the
     entry, so no task ever holds a hot group and no entry is dropped.
     """
-    rows = rows.select(*key, entry.alias("entry"))
-    pages = hot_groups(rows, key, page_rows).select(
-        *[F.col(k).alias(f"hot_{k}") for k in key],
-        F.ceil(F.col("group_rows") / page_rows).alias("pages"),
-    )
-    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"hot_{k}") for k in key])
+    pages = page_counts(rows, key, page_rows)
     page = F.coalesce(F.pmod(F.xxhash64("entry"), F.col("pages")), F.lit(0)).cast("int")
     return (
-        rows.join(pages, match, "left").withColumn("page", page)
+        rows.join(pages, key, "left").withColumn("page", page)
         .groupBy(*key, "page").agg(F.sort_array(F.collect_list("entry")).alias(name))
     )
