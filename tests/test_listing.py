@@ -22,12 +22,14 @@ def _list(spark, catalogue, target, **arguments):
 
 
 def test_plain_paths(spark):
-    c = small_catalogue(spark)
-    assert _list(spark, c, {"coll": ROOT + "/"}) == {"collection": ROOT}
-    assert _list(spark, c, {"coll": ROOT, "obj": "f1.txt"}) == {
-        "collection": ROOT, "data_object": "f1.txt"}
-    assert _list(spark, c, {"coll": ROOT, "obj": "none"}).code == -310000
-    assert _list(spark, c, {"coll": "x"}).code < 0
+    targets = [{"coll": ROOT + "/"}, {"coll": ROOT, "obj": "f1.txt"},
+               {"coll": ROOT, "obj": "none"}, {"coll": "x"}, {"collection": ROOT + "/f1.txt"}]
+    rows = list_paths(small_catalogue(spark), from_documents(spark, targets, "list"))
+    rows = {r.request_id: r for r in rows.collect()}
+    f1 = {"collection": ROOT, "data_object": "f1.txt"}
+    assert json.loads(rows[0].single) == {"collection": ROOT}
+    assert json.loads(rows[1].single) == json.loads(rows[4].single) == f1
+    assert rows[2].error.code == -310000 and rows[3].error.code == -816000
 
 
 def test_object_with_everything(spark):

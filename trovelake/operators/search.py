@@ -49,8 +49,10 @@ def search(
     collections: bool = True,
     size: bool = False,
     scope: str = "prefix",
+    ids: bool = False,
 ) -> DataFrame:
-    """(kind, collection, data_object[, size]) of everything that matches.
+    """(kind, collection, data_object[, size]) of everything that matches;
+    with ``ids`` also (subject_type, subject_id), to add properties by.
 
     An empty ``avus`` list matches everything in scope; a missing one is an
     error. With ``size`` only good replicas count, and an object whose good
@@ -82,6 +84,10 @@ def search(
             rows = _only(rows, id_column, allowed.select("subject_id").distinct())
         return rows
 
+    def subject(subject_type: str, id_column: str) -> list:
+        return [F.lit(subject_type).alias("subject_type"),
+                F.col(id_column).alias("subject_id")] if ids else []
+
     sized = [F.col("size")] if size else []
     found = []
     if collections:
@@ -89,13 +95,15 @@ def search(
         unsized = [F.lit(None).cast("bigint").alias("size")] if size else []
         found.append(rows.select(
             F.lit(KIND_COLLECTION).alias("kind"), F.col("coll_path").alias("collection"),
-            F.lit(None).cast("string").alias("data_object"), *unsized).distinct())
+            F.lit(None).cast("string").alias("data_object"), *unsized,
+            *subject(COLLECTION, "coll_id")).distinct())
     if objects:
         rows = catalogue.good_replicas() if size else catalogue.replicas
         rows = restricted(rows, OBJECT, "data_id")
         found.append(rows.select(
             F.lit(KIND_OBJECT).alias("kind"), F.col("coll_path").alias("collection"),
-            F.col("data_name").alias("data_object"), *sized).distinct())
+            F.col("data_name").alias("data_object"), *sized,
+            *subject(OBJECT, "data_id")).distinct())
     if not found:
         return catalogue.spark.createDataFrame(
             [], "kind string, collection string, data_object string")
