@@ -93,3 +93,23 @@ def nested(rows: DataFrame, key: list[str], name: str, page_rows: int = PAGE_ROW
         rows.join(pages, key, "left").withColumn("page", page)
         .groupBy(*key, "page").agg(F.sort_array(F.collect_list("entry")).alias(name))
     )
+
+
+def lagged(rows: DataFrame, key: list[str], order: str, tie: str, value: str, name: str,
+           span: int = HOT_ROWS) -> DataFrame:
+    """Add the value of the row before, in (order, tie) order within the key.
+
+    ``order`` is a whole number. Each key is windowed per span of it, and the
+    first row of a span looks at the last row of the span before, so a key with
+    very many rows is spread over tasks.
+    """
+    rows = rows.withColumn("span", F.floor(F.col(order) / span))
+    inner = W.partitionBy(*key, "span").orderBy(order, tie)
+    inside = rows.withColumn("inside", F.lag(F.struct(F.col(value).alias("v"))).over(inner))
+    ends = rows.groupBy(*key, "span").agg(
+        F.max_by(value, F.struct(order, tie)).alias("last"))
+    before = ends.withColumn("before", F.lag("last").over(
+        W.partitionBy(*key).orderBy("span"))).drop("last")
+    return inside.join(before, [*key, "span"]).withColumn(
+        name, F.when(F.col("inside").isNotNull(), F.col("inside.v")).otherwise(F.col("before"))
+    ).drop("span", "inside", "before")
