@@ -113,11 +113,12 @@ def _timestamp(document: Column) -> Column:
 
 def _arguments(document: Column) -> Column:
     member = _member(document, "arguments")
-    flags = [
-        F.coalesce(F.try_variant_get(member, f"$['{name}']", "boolean")
-                   & F.lit(True), F.lit(False)).alias(name.replace("-", "_"))
-        for name in FLAGS
-    ]
+    def flag(name: str) -> Column:
+        given = F.try_variant_get(member, f"$['{name}']", "variant")
+        is_true = _is("BOOLEAN", given) & F.try_variant_get(given, "$", "boolean")
+        return F.coalesce(is_true, F.lit(False)).alias(name.replace("-", "_"))
+
+    flags = [flag(name) for name in FLAGS]
     path = F.try_variant_get(member, "$.path", "variant")
     return F.struct(
         *flags, _text(member, "operation").alias("operation"),
