@@ -28,7 +28,7 @@ HEADLINES = [
     "act18_move_collection", "act20_mkdir_parents", "act21_rmdir_recurse", "snk03_upsert",
     "sql06_data_modified_partial", "sql08_metadata_modified_partial", "str04_fold",
 ]
-RUNS = 2
+RUNS = 1
 
 
 def timed(spark: SparkSession, folder: str, name: str) -> float:
