@@ -40,11 +40,16 @@ def resolved(catalogue: Catalogue, asked: DataFrame) -> DataFrame:
 
 
 def resolved_requests(catalogue: Catalogue, requests: DataFrame) -> DataFrame:
-    """Requests with their subject; an unknown path becomes the error."""
-    found = resolved(catalogue, requests.withColumn("path", target_path()))
+    """Requests with their subject; an unknown path becomes the error.
+
+    Both the parsed requests and the result are small next to the catalogue and
+    read by several branches, so each is stored: documents are parsed once and
+    the catalogue is searched once.
+    """
+    found = resolved(catalogue, settled(requests.withColumn("path", target_path())))
     missing = F.col("error").isNull() & F.col("subject_id").isNull()
-    return found.withColumn("error", F.coalesce(
-        "error", first_error((missing, missing_path(F.col("path"))))))
+    return settled(found.withColumn("error", F.coalesce(
+        "error", first_error((missing, missing_path(F.col("path")))))))
 
 
 def children(catalogue: Catalogue) -> DataFrame:
@@ -140,7 +145,7 @@ def request_errors(rows: DataFrame) -> DataFrame:
 def list_paths(catalogue: Catalogue, requests: DataFrame,
                page_rows: int = PAGE_ROWS) -> DataFrame:
     """Responses (request_id, page, single, error) of list requests."""
-    found = settled(resolved_requests(catalogue, requests))
+    found = resolved_requests(catalogue, requests)
     rows = settled(list_items(catalogue, found, page_rows))
     failed = request_errors(rows)
     inner = rows.where(F.col("part") == "contents").select("request_id", F.struct(

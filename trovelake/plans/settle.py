@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from trovelake.session import shared_folder
 
@@ -20,3 +21,15 @@ def settled(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that each is computed once per row.
+
+    A plain projection is merged into those above it, and filters are pushed
+    below it, so that a parsed document would be parsed again for every use. A
+    generator of one value is not.
+    """
+    for name, column in columns.items():
+        rows = rows.select("*", F.explode(F.array(column)).alias(name))
+    return rows

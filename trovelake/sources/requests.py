@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trovelake.functions import errors, levels, paths, times
 from trovelake.functions.errors import error, first_error
 from trovelake.operators.predicates import INVALID_OPERATOR, operator_of
+from trovelake.plans.settle import once
 
 # Property names of documents, long form first.
 KEYS = {
@@ -147,7 +148,7 @@ def _target(document: Column) -> Column:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """(request_id, line) to (request_id, line, document); NULL where the text
     is no JSON, or has a key twice."""
-    return lines.withColumn("document", F.try_parse_json("line"))
+    return once(lines, document=F.try_parse_json("line"))
 
 
 def rejected(lines: DataFrame) -> DataFrame:
@@ -161,23 +162,33 @@ def rejected(lines: DataFrame) -> DataFrame:
     )
 
 
+def spread(lines: DataFrame) -> DataFrame:
+    """Spread lines over all cores: parsing costs far more than moving the
+    text, and one file may be one task. The session's number of shuffle
+    partitions, sized for its data, is the least."""
+    spark = lines.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return lines.repartition(tasks, "request_id")
+
+
 def requests(lines: DataFrame, operation: str | None = None) -> DataFrame:
     """Typed requests: (request_id, operation, arguments, target, document, error).
 
     With ``operation`` the lines are bare target documents of that operation.
     Without, they are envelopes {operation, arguments, target}.
     """
-    parsed = parse_lines(lines).where(_is("OBJECT", F.col("document")))
+    parsed = parse_lines(spread(lines)).where(_is("OBJECT", F.col("document")))
     document = F.col("document")
     target = document if operation else _member(document, "target")
     typed = parsed.select(
         "request_id",
         (F.lit(operation) if operation else _text(document, "operation")).alias("operation"),
-        F.lit(operation is None).alias("enveloped"),
-        _arguments(document).alias("arguments"),
-        target.alias("target_document"), "document",
-    ).withColumn("target", _target(F.col("target_document")))
-    return typed.withColumn("error", validation_error())
+        F.lit(operation is None).alias("enveloped"), "document",
+    )
+    typed = once(typed, arguments=_arguments(document), target_document=target)
+    typed = once(typed, target=_target(F.col("target_document")))
+    return once(typed, error=validation_error())
 
 
 def from_documents(spark: SparkSession, documents: list[dict],
