@@ -1,6 +1,9 @@
 """All queries of this subpackage, with the SQL of those that have one."""
 
-from trovelake.llm import url_templates  # noqa: F401  (fills QUERIES)
+from trovelake.llm import (  # noqa: F401  (each module fills QUERIES)
+    bpe_trie, kd_search, line_chunks, quality_gam, template_decontamination, url_templates,
+    warc_derivatives,
+)
 from trovelake.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

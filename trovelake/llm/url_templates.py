@@ -108,10 +108,9 @@ def merged_purity(leaves: DataFrame) -> DataFrame:
     nodes = marked.groupBy("host", "node").agg(
         F.sum("labelled").alias("examples"), F.sum("blocked").alias("bad"))
     prior = leaves.agg((F.coalesce(F.sum("blocked"), F.lit(0))
-                        / F.greatest(F.sum("labelled"), F.lit(1))).alias("prior"))
-    purity = (F.col("bad") + SMOOTHING * F.col("prior")) / (F.col("examples") + SMOOTHING)
-    # prior is one row: the aggregate of all templates
-    scored = nodes.join(F.broadcast(prior)).withColumn("blocked_share", purity)
+                        / F.greatest(F.sum("labelled"), F.lit(1))).alias("prior")).scalar()
+    purity = (F.col("bad") + SMOOTHING * prior) / (F.col("examples") + SMOOTHING)
+    scored = nodes.withColumn("blocked_share", purity)
     return marked.select("host", "template", "node").join(scored, ["host", "node"]).select(
         "host", "template", "node", "examples", "blocked_share",
         ((F.col("examples") >= LEAST_EXAMPLES) & (F.col("blocked_share") >= THRESHOLD))
