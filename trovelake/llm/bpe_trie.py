@@ -4,17 +4,16 @@ The encoding of a byte string is determined by one token per prefix: the last
 token of the prefix's own encoding. The last token of a prefix is the one
 vocabulary entry that ends it and that may follow, as a valid pair, the last
 token of what is left before it. So the distinct words of a batch are put into a
-trie, and a depth-first walk computes the last token of every node once, however
-many words share the prefix. The encoding of a word is read off by stepping back
-from its node, a token at a time.
+trie, kept as their sorted list, and a depth-first walk computes the last token
+of every node once, however many words share the prefix. The encoding of a word
+is read off by stepping back from its node, a token at a time.
 
 Documents never leave their partition: every task splits its texts, encodes the
 words that its worker has not met yet, and joins the ids of the words. The
 memory of known words is emptied at a fixed size; that only costs time.
 
 * A null text is taken as the empty text: no ids, empty decoded text.
-* Words of any length are encoded whole. One longer than ``LONG_WORD`` bytes
-  shares no prefix; it is walked alone, as a chain of states in arrays.
+* Words of any length are encoded whole.
 * Repeated rows are encoded each; extra columns are not read.
 """
 
@@ -22,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +31,6 @@ from trovelake.llm.common import query, rows_out, table, worker_cache
 
 KNOWN_WORDS = 300_000   # words a worker remembers
 KNOWN_PAIRS = 600_000   # token pairs a worker remembers
-LONG_WORD = 64
 
 # The split pattern of byte-level BPE, tried in this order.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
@@ -72,18 +70,23 @@ class Vocabulary:
         vocabulary = content["model"]["vocab"]
         self.ids = {raw(t): i for t, i in vocabulary.items() if t not in special}
         self.special = special
-        self.longest = max(map(len, self.ids))
         self.token_bytes = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
         for token, number in self.ids.items():
             self.token_bytes[number] = token
         for token, number in special.items():
             self.token_bytes[number] = token.encode()
+        self.token_lengths = [len(t) for t in self.token_bytes]
+        # lengths of the tokens that end in the same (up to) three bytes, longest first
+        lengths: dict[bytes, set[int]] = {}
+        for token in self.ids:
+            lengths.setdefault(token[-3:], {1, 2}).add(len(token))
+        self.endings = {end: tuple(sorted(n, reverse=True)) for end, n in lengths.items()}
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(content["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             left, right = raw(left), raw(right)
             self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(
             regex.escape(t) for t in sorted(special, key=len, reverse=True)) or r"(?!)")
@@ -102,75 +105,57 @@ class Vocabulary:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the two tokens, side by side, are an encoding."""
-        pair = (left, right)
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            known = self.merged(self.token_bytes[left] + self.token_bytes[right]) == [left, right]
-            self.pairs[pair] = known
-        return known
-
-    def last_token(self, path: bytes, end: int, before: list[int]) -> int:
-        """Last token of the encoding of ``path[:end]``; ``before[i]`` is that
-        of ``path[:i]``."""
-        for length in range(min(end, self.longest), 0, -1):
-            token = self.ids.get(path[end - length:end])
-            if token is not None and (
-                    length == end or self.may_follow(before[end - length], token)):
-                return token
-        raise ValueError(f"no token ends {path[:end]!r}")
+        return self.merged(self.token_bytes[left] + self.token_bytes[right]) == [left, right]
+
+    def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
+        """Encode distinct words by one depth-first walk over their trie.
+
+        The trie is held as the sorted list of its words: a word shares its
+        path with the word before it up to the first byte that differs, and
+        walking the list visits the nodes in depth-first order. ``states[i]`` is
+        the last token of the encoding of the path's first i bytes; the states
+        of the shared part are kept, so every node is worked out once.
+        """
+        found: dict[bytes, list[int]] = {}
+        states, before = [-1], b""
+        token_of, lengths_of, pairs = self.ids.get, self.endings.get, self.pairs
+        for word in sorted(words):
+            shared, limit = 0, min(len(before), len(word))
+            while shared < limit and before[shared] == word[shared]:
+                shared += 1
+            del states[shared + 1:]
+            for end in range(shared + 1, len(word) + 1):
+                for length in lengths_of(word[end - 3:end] if end > 3 else word[:end], (2, 1)):
+                    if length > end:
+                        continue
+                    token = token_of(word[end - length:end])
+                    if token is None:
+                        continue
+                    if length == end:
+                        break
+                    pair = states[end - length] << 32 | token
+                    known = pairs.get(pair)
+                    if known is None:
+                        if len(pairs) >= KNOWN_PAIRS:
+                            pairs.clear()
+                        known = pairs[pair] = self.may_follow(states[end - length], token)
+                    if known:
+                        break
+                else:
+                    raise ValueError(f"no token ends {word[:end]!r}")
+                states.append(token)
+            found[word] = self.read_back(states, len(word))
+            before = word
+        return found
 
     def read_back(self, states: list[int], end: int) -> list[int]:
         ids = []
         while end:
             token = states[end]
             ids.append(token)
-            end -= len(self.token_bytes[token])
+            end -= self.token_lengths[token]
         return ids[::-1]
 
-    def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Encode distinct words: one walk over their trie.
-
-        A trie node is (children by byte, is a word's end). The walk keeps the
-        states of the path from the root to the current node.
-        """
-        root: list = [{}, False]
-        found: dict[bytes, list[int]] = {}
-        for word in words:
-            if len(word) > LONG_WORD:
-                states = [-1]
-                for end in range(1, len(word) + 1):
-                    states.append(self.last_token(word, end, states))
-                found[word] = self.read_back(states, len(word))
-                continue
-            node = root
-            for byte in word:
-                child = node[0].get(byte)
-                if child is None:
-                    child = node[0][byte] = [{}, False]
-                node = child
-            node[1] = True
-        if root[1]:
-            found[b""] = []
-        states, path = [-1], b""
-        stack = [(root, iter(root[0].items()))]
-        while stack:
-            step = next(stack[-1][1], None)
-            if step is None:
-                stack.pop()
-                states.pop()
-                path = path[:-1]
-                continue
-            byte, node = step
-            path += bytes((byte,))
-            end = len(path)
-            states.append(self.last_token(path, end, states))
-            if node[1]:
-                found[path] = self.read_back(states, end)
-            stack.append((node, iter(node[0].items())))
-        return found
-
     def pieces(self, text: str) -> list[str]:
         """The words of a text; special tokens are words of their own."""
         if not self.special:
