@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trovelake.llm.common import query, rows_out, table, worker_cache
 
 KNOWN_WORDS = 300_000   # words a worker remembers
-KNOWN_PAIRS = 600_000   # token pairs a worker remembers
+KNOWN_PAIRS = 400_000   # token pairs a worker remembers
 
 # The split pattern of byte-level BPE, tried in this order.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"

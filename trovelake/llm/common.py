@@ -89,10 +89,31 @@ def window_hashes(items: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
+class CellFilter:
+    """A fixed-size filter of whole numbers, to test beside a scan.
+
+    It lets every number of the set through, and others that share a cell with
+    one. Its size does not depend on the set: at most ``cells`` numbers reach
+    the driver, and a large set only lets more through.
+    """
+
+    def __init__(self, numbers: DataFrame, cells: int = 1 << 22):
+        column = F.pmod(F.col(numbers.columns[0]), F.lit(cells)).cast("int")
+        found = numbers.select(column.alias("cell")).where("cell is not null").distinct().toArrow()
+        marks = np.zeros(cells, dtype=bool)
+        marks[found["cell"].to_numpy()] = True
+        self.cells = cells
+        self.sent = numbers.sparkSession.sparkContext.broadcast(np.packbits(marks).tobytes())
+
+    def marks(self) -> np.ndarray:
+        """The cells as booleans, in a task."""
+        return np.unpackbits(np.frombuffer(self.sent.value, dtype=np.uint8)).view(bool)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 300_000):
         super().__init__()
         self.limit = limit
 

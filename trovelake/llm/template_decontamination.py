@@ -14,9 +14,10 @@ every match through. What passes is joined by hash, so no side is broadcast
 unless Spark finds it under its own limit.
 
 * A null or empty text has no windows and is clean.
-* Items with fewer than ``WIDTH`` words have one window, the whole item; a
-  window with fewer than ``LEAST_LITERALS`` words that are no placeholders says
-  nothing and is not used.
+* Items with fewer than ``WIDTH`` words have one window, the whole item. A match
+  of windows with fewer than ``LEAST_LITERALS`` words that are no placeholders
+  says nothing by itself; down to ``SLOT_LITERALS`` its placeholders are checked
+  with those of the other windows of the alignment.
 * Repeated items count once per item_id; repeated documents are judged by
   doc_id, and all rows of a contaminated doc_id are.
 * Whole texts are searched. Extra columns are not read.
@@ -32,11 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trovelake.llm.common import WordHashes, query, rows_out, table, window_hashes, worker_cache
+from trovelake.llm.common import (
+    CellFilter, query, rows_out, table, window_hashes, word_hashes,
+)
 from trovelake.plans.settle import settled
 
 WIDTH = 8
-LEAST_LITERALS = 5
+LEAST_LITERALS = 5   # words that are no placeholders, for a window to tell something
+SLOT_LITERALS = 3    # ... and to be looked at for its placeholders, beside such a window
 FILTER_CELLS = 1 << 22
 
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
@@ -91,29 +95,22 @@ def canonical(text: str) -> tuple[list[str], list[str | None]]:
     return words, values
 
 
-def hashes() -> WordHashes:
-    cache = worker_cache("templates")
-    if "hashes" not in cache:
-        cache["hashes"] = WordHashes()
-    return cache["hashes"]
-
-
 def windows_of(text: str | None, width: int = WIDTH) -> Iterator[tuple[int, np.uint64, list]]:
     """(position, hash, values of the placeholders) of each window that counts."""
     words, values = canonical(text or "")
     if not words:
         return
     width = min(width, len(words))
-    keys = window_hashes(hashes().array([w.encode() for w in words]), width)
+    keys = window_hashes(word_hashes().array([w.encode() for w in words]), width)
     literal = np.cumsum([0] + [v is None for v in values])
     counts = literal[width:] - literal[:-width]
-    for at in np.flatnonzero(counts >= LEAST_LITERALS):
+    for at in np.flatnonzero(counts >= SLOT_LITERALS):
         yield int(at), keys[at], values[at:at + width]
 
 
 WINDOWS = pa.schema([("id", pa.int64()), ("at", pa.int32()), ("key", pa.int64()),
-                     ("slots", pa.list_(pa.string()))])
-WINDOWS_DDL = "id long, at int, key long, slots array<string>"
+                     ("literals", pa.int32()), ("slots", pa.list_(pa.string()))])
+WINDOWS_DDL = "id long, at int, key long, literals int, slots array<string>"
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -121,7 +118,8 @@ def item_windows(items: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(key, at, hashed.astype(np.int64), [v for v in slots if v is not None])
+            rows = [(key, at, hashed.astype(np.int64), sum(v is None for v in slots),
+                     [v for v in slots if v is not None])
                     for key, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist())
                     for at, hashed, slots in windows_of(text)]
             yield rows_out(WINDOWS, dict(zip(WINDOWS.names, zip(*rows))) if rows
@@ -148,34 +146,29 @@ def short_widths(items: DataFrame, width: int = WIDTH) -> list[int]:
 
 def candidate_windows(documents: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
     """Windows of documents whose hash may be among the wanted keys."""
-    cell = F.pmod("key", F.lit(FILTER_CELLS)).cast("int")
-    # at most FILTER_CELLS whole numbers, however many windows there are
-    cells = wanted.select(cell.alias("cell")).distinct().toArrow()["cell"].to_numpy()
-    marks = np.zeros(FILTER_CELLS, dtype=bool)
-    marks[cells] = True
-    packed = np.packbits(marks)
-    sent = documents.sparkSession.sparkContext.broadcast(packed.tobytes())
+    passing = CellFilter(wanted.select("key"), FILTER_CELLS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8)).view(bool)
+        marks = passing.marks()
         for batch in batches:
             out: dict[str, list] = {n: [] for n in WINDOWS.names}
             for key, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 words, values = canonical(text or "")
                 if not words:
                     continue
-                items = hashes().array([w.encode() for w in words])
+                items = word_hashes().array([w.encode() for w in words])
                 literal = np.cumsum([0] + [v is None for v in values])
                 for width in widths:
                     if width > len(words):
                         continue
                     keys = window_hashes(items, width)
-                    enough = literal[width:] - literal[:-width] >= LEAST_LITERALS
+                    enough = literal[width:] - literal[:-width] >= SLOT_LITERALS
                     cells = (keys % np.uint64(FILTER_CELLS)).astype(np.int64)
                     for at in np.flatnonzero(enough & marks[cells]):
                         out["id"].append(key)
                         out["at"].append(int(at))
                         out["key"].append(int(keys[at].astype(np.int64)))
+                        out["literals"].append(int(literal[at + width] - literal[at]))
                         out["slots"].append(
                             [v for v in values[at:at + width] if v is not None])
             yield rows_out(WINDOWS, out)
@@ -191,10 +184,12 @@ def matches(documents: DataFrame, items: DataFrame) -> DataFrame:
     wanted = settled(item_windows(items))
     widths = sorted({WIDTH, *short_widths(items)})
     there = candidate_windows(documents, wanted, widths)
-    pairs = there.withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"}).join(
-        wanted.withColumnsRenamed({"id": "item_id", "at": "item_at", "slots": "item_slots"}), "key")
+    there = there.withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"})
+    pairs = there.join(wanted.drop("literals").withColumnsRenamed(
+        {"id": "item_id", "at": "item_at", "slots": "item_slots"}), "key")
     aligned = pairs.where(F.size("doc_slots") == F.size("item_slots")).select(
-        "doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("offset"), "item_at",
+        "doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("offset"),
+        F.when(F.col("literals") >= LEAST_LITERALS, F.col("item_at")).alias("item_at"),
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))
         .alias("slots"))
     # an alignment has at most as many windows as the item has words
@@ -202,7 +197,7 @@ def matches(documents: DataFrame, items: DataFrame) -> DataFrame:
         F.countDistinct("item_at").alias("windows"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     sides = [F.size(F.array_distinct(F.col(f"slots.{side}"))) for side in ("item", "doc")]
-    return runs.where((sides[0] == F.size("slots")) & (sides[1] == F.size("slots"))).select(
+    return runs.where((F.col("windows") > 0) & (sides[0] == F.size("slots")) & (sides[1] == F.size("slots"))).select(
         "doc_id", "item_id", "offset", "windows", F.size("slots").alias("slots"),
         F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("renamed"))
 
