@@ -165,9 +165,10 @@ ROWS = pa.schema([("doc_id", pa.int64()), ("chunk", pa.string()), ("offset", pa.
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary, chunk string"
-    ).load(f"{folder}/records").where("chunk is not null").select("chunk", "content")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(
+        f"{folder}/records")
+    chunk = F.regexp_extract("path", "/chunk=([^/]+)/[^/]+$", 1)
+    return found.select(chunk.alias("chunk"), "content").where("chunk <> ''")
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
