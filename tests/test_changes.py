@@ -219,7 +219,8 @@ def test_dispatch(spark, mixed):
     named = json.loads(rows[3].multiple)
     assert len(named) == 1 and named[0]["alias"] == "dataModifiedIdOnly"
     assert {i: rows[i].error.code for i in (4, 5, 7)} == {4: -1, 5: -1, 7: -1}
-    lines = {r.request_id: json.loads(r.line) for r in response_lines(responses).collect()}
+    lines = {r.request_id: json.loads(r.line) for r in response_lines(responses, mixed).collect()}
+    assert lines[1]["arguments"] == {"operation": "add"}
     assert lines[6] == {"operation": "list", "result": {"single": F1}, "target": F1}
     assert set(lines[5]) == {"error", "operation", "target"}
 
@@ -230,3 +231,50 @@ def test_dispatch_in_order_sees_changes(spark, mixed):
     assert json.loads(rows[0].multiple) == []
     assert json.loads(rows[2].multiple) == [F1]
     assert ("k", "1", None) in _avus(after, 1)
+
+
+def test_conflicting_moves(spark):
+    """The first move of an item, and to a path, counts."""
+    c = small_catalogue(spark)
+    other = {"coll": ROOT, "obj": "f2.txt"}
+    asked = from_documents(spark, [
+        {"op": "move", "args": {"path": path}, "target": t} for t, path in [
+            (F1, ROOT + "/c/a.txt"), (F1, ROOT + "/c/b.txt"), (other, ROOT + "/c/a.txt")]])
+    after, responses = tree.move(c, asked)
+    assert _errors(responses) == {0: None, 1: -310000, 2: -809000}
+    assert after.replicas.count() == c.replicas.count()
+    assert after.replicas.groupBy("coll_path", "data_name", "repl_num").count().where(
+        "count > 1").isEmpty()
+
+
+def test_metamod_stops_at_its_first_failure(spark):
+    """What a request no longer does can let a later one succeed."""
+    same = {"a": "attr1", "v": "value1", "u": "units1"}
+    n1, n2 = {"a": "n1", "v": "1"}, {"a": "n2", "v": "2"}
+    after, responses = _metamod(spark, small_catalogue(spark), ("add", [n1, same, n2]),
+                                ("add", [n2]), ("rem", [n2, n1]))
+    assert _errors(responses) == {0: -809000, 1: None, 2: None}
+    assert _avus(after, 1) == [("attr1", "value1", "units1")]
+    bare = from_documents(spark, [{**F1, "avus": [same]}], "metamod")
+    after, responses = metadata.metamod(small_catalogue(spark), bare)
+    assert _errors(responses) == {0: -1} and len(_avus(after, 1)) == 1
+
+
+def test_bad_requests_do_not_end_a_batch(spark):
+    def find(operator, value, **target):
+        return {"op": "metaquery", "args": {"object": True},
+                "target": {"avus": [{"a": "attr1", "o": operator, "v": value}], **target}}
+
+    def named(sql, *args):
+        return {"op": "specific", "target": {"specific": {"sql": sql, "args": list(args)}}}
+
+    asked = from_documents(spark, [
+        find("like", "odd\\"), find("like", "a\\b%"), find("=", "value1", coll=ROOT + "\\x"),
+        named("SELECT 1"), named("SELECT * FROM nowhere"), named("dataModifiedIdOnly"),
+        named("dataModifiedIdOnly", "x", "y"), find("like", "value_")])
+    _, responses = dispatch(small_catalogue(spark), asked)
+    rows = {r.request_id: r for r in responses.collect()}
+    assert {i: r.error and r.error.code for i, r in rows.items()} == {
+        0: None, 1: None, 2: None, 3: -1, 4: -1, 5: -1, 6: -1, 7: None}
+    assert json.loads(rows[0].multiple) == json.loads(rows[2].multiple) == []
+    assert len(json.loads(rows[7].multiple)) == 12

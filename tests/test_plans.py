@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from small import ROOT, small_catalogue
 from trovelake.operators.search import search
+from trovelake.plans.dispatch import dispatch_in_order
 from trovelake.plans.skew import lagged, nested, numbered
 from trovelake.sources.contents import export_contents, local_files
-from trovelake.sources.snapshots import current, publish
+from trovelake.sources.requests import from_documents, requests, text_lines
+from trovelake.sources.snapshots import current, publish, published
 from trovelake.streaming.changes import last_changes
 from trovelake.streaming.requests import answer, read_lines
 
@@ -69,7 +71,7 @@ def test_stream_of_requests(spark, tmp_path):
     frame.where("request_id >= 3").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     run()
     rows = {r.request_id: json.loads(r.line)
-            for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+            for r in spark.read.parquet(str(tmp_path / "out/responses")).collect()}
     assert set(rows) == {1, 3}
     assert rows[1]["result"] == {"single": {"collection": ROOT}}
     assert rows[3]["error"]["code"] == -1
@@ -116,3 +118,44 @@ def test_files_and_export(spark, tmp_path):
     export_contents(found, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 16 and back.where(F.col("coll_path") == ROOT + "/a").count() == 3
+
+
+def test_a_batch_is_published_once(spark, tmp_path):
+    c, folder = small_catalogue(spark), str(tmp_path / "versions")
+    publish(c, folder)
+    fewer = c.with_tables(avus=c.avus.where("attribute <> 'attr1'"))
+    publish(fewer, folder, "avus", batch=4)
+    assert published(spark, folder, 4) and not published(spark, folder, 5)
+    publish(c, folder, "avus", batch=4)  # a repeat changes nothing
+    assert current(spark, folder).avus.count() == fewer.avus.count()
+
+
+def test_text_lines_are_numbered_in_order(spark, tmp_path):
+    for name, lines in (("b", ["3", "4"]), ("a", ["1", "", "2"])):
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    rows = text_lines(spark, str(tmp_path)).orderBy("request_id").collect()
+    assert [r.line for r in rows] == ["1", "2", "3", "4"]
+
+
+def test_trigger_size_does_not_change_answers(spark, tmp_path):
+    documents = [{"op": "mkdir", "target": {"coll": ROOT + "/new"}},
+                 {"op": "list", "target": {"coll": ROOT + "/new"}},
+                 {"op": "rmdir", "target": {"coll": ROOT + "/new"}},
+                 {"op": "list", "target": {"coll": ROOT + "/new"}}]
+    rows = [(i, json.dumps(d)) for i, d in enumerate(documents)]
+    _, responses = dispatch_in_order(small_catalogue(spark), from_documents(spark, documents))
+    together = {r.request_id: r.error and r.error.code for r in responses.collect()}
+    apart, catalogue = {}, small_catalogue(spark)
+    for row in rows:
+        typed = requests(spark.createDataFrame([row], "request_id long, line string"))
+        catalogue, responses = dispatch_in_order(catalogue, typed)
+        apart |= {r.request_id: r.error and r.error.code for r in responses.collect()}
+    assert together == apart == {0: None, 1: None, 2: None, 3: -310000}
+
+
+def test_lagged_keeps_null_keys(spark):
+    rows = spark.createDataFrame([(None, 1, 0, "a"), (None, 2, 0, "b"), ("x", 1, 0, "c")],
+                                 "g string, id long, tie int, v string")
+    got = lagged(rows, ["g"], "id", "tie", "v", "p", 1).select("g", "id", "p").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(None, 1, None), (None, 2, "a"), ("x", 1, None)], key=str)

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from small import ROOT, small_catalogue
 from trovelake.functions.errors import RequestError
 from trovelake.operators.batch_search import batch_search
-from trovelake.operators.predicates import OPERATORS
+from trovelake.operators.predicates import OPERATORS, compared
 from trovelake.operators.search import search
 from trovelake.sources.requests import from_documents
 
@@ -97,3 +98,13 @@ def test_envelope_without_kind_finds_nothing(spark):
     rows = batch_search(catalogue, both).collect()
     assert {r.request_id for r in rows} == {1} and len(rows) == 12
     assert all(r.size == 0 for r in rows)
+
+
+@pytest.mark.parametrize("operator, value, wanted, holds", [
+    ("n>", "NaN", "5", False), ("n>=", "5d", "5", False), ("n>", " 7 ", "5", True),
+    ("n>", "9007199254740993", "9007199254740992", True), ("n<", "1e2", "101", True),
+    ("n<", "-.5", "0", True), ("n<=", "", "0", False)])
+def test_numbers_are_plain_and_exact(spark, operator, value, wanted, holds):
+    row = spark.range(1).select(F.coalesce(
+        compared(operator, F.lit(value), F.lit(wanted)), F.lit(False)).alias("x")).first()
+    assert row.x is holds

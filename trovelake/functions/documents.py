@@ -66,14 +66,6 @@ def json_text(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def wrapped_result(single: Column, multiple: Column, is_multiple: Column) -> Column:
-    """Result property of an envelope: one document, or an array of them."""
-    return F.struct(
-        F.when(is_multiple, multiple).alias("multiple"),
-        F.when(~is_multiple, single).alias("single"),
-    )
-
-
 def avus_from_lists(attributes: Column, values: Column, units: Column,
                     operators: Column) -> Column:
     """Parallel option lists to an array of AVU documents."""

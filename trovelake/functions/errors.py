@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +11,6 @@ FILE_DOES_NOT_EXIST = -310000
 CHECKSUM_MISMATCH = -314000
 INPUT_PATH = -317000
 INPUT_OPTION = -318000
-NO_ROWS_FOUND = -808000
 ALREADY_EXISTS = -809000
 UNKNOWN_COLLECTION = -814000
 INVALID_ARGUMENT = -816000
@@ -47,10 +44,6 @@ def first_error(*checks: tuple[Column, Column]) -> Column:
 
 def missing_path(path: Column) -> Column:
     return error(
-        F.format_string("Path '%s' does not exist (or lacks access permission)", path),
+        F.format_string("nothing can be seen at '%s'", path),
         FILE_DOES_NOT_EXIST,
     )
-
-
-def both(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

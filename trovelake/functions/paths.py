@@ -93,7 +93,9 @@ def under(path: Column, root: Column, scope: str = "prefix") -> Column:
     may end inside a name. ``subtree``: the root itself and what lies below it.
     """
     if scope == "prefix":
-        return F.like(path, F.concat(root, F.lit("%")))
+        # a backslash in a path stands for itself
+        plain = F.regexp_replace(root, r"\\", r"\\\\")
+        return F.like(path, F.concat(plain, F.lit("%")))
     if scope == "subtree":
         return (path == root) | path.startswith(F.concat(root, F.lit("/")))
     raise ValueError(f"unknown path scope '{scope}'")

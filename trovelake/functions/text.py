@@ -45,8 +45,3 @@ def parse_size(text: Column) -> Column:
 def empty_to_null(text: Column) -> Column:
     """An empty catalogue value is an absent document property."""
     return F.nullif(text, F.lit(""))
-
-
-def is_given(text: Column) -> Column:
-    """A mandatory argument: neither missing nor empty."""
-    return F.coalesce(F.length(text) > 0, F.lit(False))

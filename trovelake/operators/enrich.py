@@ -69,7 +69,7 @@ def replicate_rows(catalogue: Catalogue, replicas: DataFrame | None = None) -> D
             (n_found != 1, error(F.format_string("Expected 1 resource result but found %d",
                                                  n_found), errors.GENERAL)),
             (~F.coalesce(F.col("status").isin(doc.STALE, doc.GOOD), F.lit(False)),
-             error(F.format_string("Invalid replicate status '%s'", F.col("status")),
+             error(F.format_string("unknown replica status '%s'", F.col("status")),
                    errors.INVALID_ARGUMENT)),
         ).alias("error"),
     ))
@@ -130,7 +130,8 @@ def _entries(catalogue: Catalogue, name: str) -> tuple[DataFrame, Callable[[Colu
 
 def _checksum_json(checksum: Column) -> Column:
     """A missing checksum is a JSON null in a document, not an absent key."""
-    return F.try_parse_json(F.coalesce(F.concat(F.lit('"'), checksum, F.lit('"')), F.lit("null")))
+    text = F.get_json_object(F.to_json(F.struct(F.array(checksum).alias("c"))), "$.c")
+    return F.try_parse_json(F.coalesce(F.substr(text, F.lit(2), F.length(text) - 2), F.lit("null")))
 
 
 def _replicate(entry: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,32 +12,32 @@ from trovelake.functions.errors import GENERAL, RequestError
 from trovelake.plans.skew import broadcast_if_small
 from trovelake.sources.catalogue import Catalogue
 
-# Named queries that come with every catalogue; '?' are string arguments.
+# Aliases and labels. Named queries that come with every catalogue; '?' are string arguments.
 BUILT_IN = {
     "findQueryByAlias": "SELECT alias, sqlStr FROM named_queries WHERE alias = ?",
     "dataModifiedIdOnly":
         "SELECT DISTINCT data_id FROM replicas "
-        "WHERE unix_seconds(modified) > CAST(? AS BIGINT) "
-        "AND unix_seconds(modified) <= CAST(? AS BIGINT)",
+        "WHERE modified >= timestamp_seconds(CAST(? AS BIGINT) + 1) "
+        "AND modified < timestamp_seconds(CAST(? AS BIGINT) + 1)",
     "dataModifiedPartial":
         "SELECT c.coll_path AS coll_name, r.data_name, r.data_id, r.repl_num AS data_repl_num, "
         "r.checksum AS data_checksum, unix_seconds(r.modified) AS data_modify_ts, "
         "r.status AS data_repl_status "
         "FROM replicas r JOIN collections c ON r.coll_id = c.coll_id "
-        "WHERE unix_seconds(r.modified) > CAST(? AS BIGINT) "
-        "AND unix_seconds(r.modified) <= CAST(? AS BIGINT)",
+        "WHERE r.modified >= timestamp_seconds(CAST(? AS BIGINT) + 1) "
+        "AND r.modified < timestamp_seconds(CAST(? AS BIGINT) + 1)",
     "metadataModifiedIdOnly":
         "SELECT DISTINCT r.data_id FROM replicas r JOIN metamap m ON r.data_id = m.object_id "
-        "WHERE unix_seconds(m.modified) > CAST(? AS BIGINT) "
-        "AND unix_seconds(m.modified) <= CAST(? AS BIGINT)",
+        "WHERE m.modified >= timestamp_seconds(CAST(? AS BIGINT) + 1) "
+        "AND m.modified < timestamp_seconds(CAST(? AS BIGINT) + 1)",
     "metadataModifiedPartial":
         "SELECT c.coll_path AS coll_name, o.data_name, o.data_id, t.meta_id, "
         "t.attribute AS meta_attr_name, t.value AS meta_attr_value, t.units AS meta_attr_unit, "
         "unix_seconds(m.modified) AS meta_modify_ts "
         "FROM replicas o JOIN collections c ON o.coll_id = c.coll_id "
         "JOIN metamap m ON o.data_id = m.object_id JOIN metadata t ON m.meta_id = t.meta_id "
-        "WHERE unix_seconds(m.modified) > CAST(? AS BIGINT) "
-        "AND unix_seconds(m.modified) <= CAST(? AS BIGINT)",
+        "WHERE m.modified >= timestamp_seconds(CAST(? AS BIGINT) + 1) "
+        "AND m.modified < timestamp_seconds(CAST(? AS BIGINT) + 1)",
     "showCollAcls":
         "SELECT a.owner, a.owner_zone AS zone, a.level FROM acls a "
         "JOIN collections c ON a.subject_id = c.coll_id "
@@ -65,12 +67,17 @@ def register_views(catalogue: Catalogue) -> None:
     ).createOrReplaceTempView("metamap")
 
 
-def sql_of(catalogue: Catalogue, text: str) -> str:
-    """SQL text itself, or that behind an alias; an alias must be unique."""
-    if text.lstrip().lower().startswith("select"):
-        return text
+def sql_of(catalogue: Catalogue, text: str, free: bool = False) -> str:
+    """The SQL behind an alias, or a registered SQL text itself; an alias must
+    be unique. Other text is only run with ``free``: a statement has the rights
+    of the session, so authors of requests may not send their own."""
     if text in BUILT_IN:
         return BUILT_IN[text]
+    if text.lstrip().lower().startswith("select"):
+        known = catalogue.named_queries.where(F.col("sqlStr") == text)
+        if free or text in BUILT_IN.values() or not known.isEmpty():
+            return text
+        raise RequestError("this statement is not registered", GENERAL)
     rows = catalogue.named_queries.where(F.col("alias") == text).select("sqlStr").take(2)
     if len(rows) != 1:
         raise RequestError(
@@ -79,13 +86,30 @@ def sql_of(catalogue: Catalogue, text: str) -> str:
     return rows[0].sqlStr
 
 
-def run(catalogue: Catalogue, text: str, args: list[str] | None = None) -> DataFrame:
+def checked_args(sql: str, args: list[str]) -> list[str]:
+    """The arguments, if there is one for each '?' outside of quotes and those
+    that are cast to whole numbers are such."""
+    places = re.sub(r"'[^']*'", lambda m: " " * len(m.group()), sql)
+    marks = [m.start() for m in re.finditer(r"\?", places)]
+    if len(marks) != len(args):
+        raise RequestError(f"the query takes {len(marks)} arguments, not {len(args)}", GENERAL)
+    for number, (at, arg) in enumerate(zip(marks, args), 1):
+        whole = re.search(r"CAST\(\s*$", places[:at], re.IGNORECASE) and re.match(
+            r"\?\s+AS\s+(BIGINT|INT)", places[at:], re.IGNORECASE)
+        if whole and not re.fullmatch(r"\s*[+-]?[0-9]{1,12}\s*", arg):
+            raise RequestError(f"argument {number} is no whole number", GENERAL)
+    return args
+
+
+def run(catalogue: Catalogue, text: str, args: list[str] | None = None,
+        free: bool = True) -> DataFrame:
     """Run SQL, or the SQL of an alias, with string arguments for its '?'.
 
-    Labels are the columns of the result.
+    Labels are the columns of the result. See ``sql_of`` for ``free``.
     """
     register_views(catalogue)
-    return catalogue.spark.sql(sql_of(catalogue, text), args=list(args or []))
+    sql = sql_of(catalogue, text, free)
+    return catalogue.spark.sql(sql, args=checked_args(sql, list(args or [])))
 
 
 # -- named changes of one replica -----------------------------------------------------

@@ -13,7 +13,7 @@ from trovelake.functions.errors import RequestError
 # The operators of a metadata query.
 OPERATORS = ("=", "like", "not like", "in", ">", "<", "n>", "n<", ">=", "<=", "n>=", "n<=")
 
-INVALID_OPERATOR = "Invalid operator: expected one of [" + ", ".join(OPERATORS) + "]"
+INVALID_OPERATOR = "unknown operator; known are [" + ", ".join(OPERATORS) + "]"
 
 
 def valid_operator(operator: str | None) -> str:
@@ -30,6 +30,27 @@ def operator_of(operator: Column) -> Column:
     return F.when(lowered.isin(*OPERATORS), lowered)
 
 
+def like_pattern(pattern: Column) -> Column:
+    """A LIKE pattern in which a backslash before anything but a wildcard or a
+    backslash stands for itself, so that every text is a pattern."""
+    return F.regexp_replace(pattern, r"(\\[%_\\])|(\\)", "$1$2$2")
+
+
+# Text that is a number, and one that fits a decimal without loss.
+NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+WHOLE = r"^\s*[+-]?[0-9]{1,38}\s*$"
+
+
+def compared_as_numbers(symbol: str, actual: Column, wanted: Column) -> Column:
+    """Whole numbers are compared exactly, others in double precision; text that
+    is no number, such as NaN or 5d, never matches."""
+    whole = actual.rlike(WHOLE) & wanted.rlike(WHOLE)
+    exact = compared(symbol, *(c.try_cast("decimal(38,0)") for c in (actual, wanted)))
+    double = compared(symbol, *(
+        F.when(c.rlike(NUMBER), c.try_cast("double")) for c in (actual, wanted)))
+    return F.when(whole, exact).otherwise(double)
+
+
 def compared(operator: str, actual: Column, wanted: Column) -> Column:
     """``actual <operator> wanted`` for one known operator.
 
@@ -38,11 +59,11 @@ def compared(operator: str, actual: Column, wanted: Column) -> Column:
     """
     symbol = operator.lstrip("n") if operator.startswith("n") and operator[1] in "<>" else operator
     if symbol != operator:
-        actual, wanted = actual.try_cast("double"), wanted.try_cast("double")
+        return compared_as_numbers(symbol, actual, wanted)
     return {
         "=": lambda: actual == wanted,
-        "like": lambda: F.like(actual, wanted),
-        "not like": lambda: ~F.like(actual, wanted),
+        "like": lambda: F.like(actual, like_pattern(wanted)),
+        "not like": lambda: ~F.like(actual, like_pattern(wanted)),
         ">": lambda: actual > wanted,
         "<": lambda: actual < wanted,
         ">=": lambda: actual >= wanted,
@@ -73,13 +94,13 @@ class Clause:
         value = document.get("value", document.get("v"))
         operator = valid_operator(document.get("operator", document.get("o")))
         if not isinstance(attribute, str):
-            raise RequestError("Invalid AVU: attribute is missing or not a string")
+            raise RequestError("an AVU needs an attribute that is a text")
         if operator == "in":
             if not isinstance(value, list) or not all(isinstance(v, str) for v in value):
-                raise RequestError("Invalid AVU: operator 'in' needs a list of strings")
+                raise RequestError("the operator 'in' takes a list of texts")
             return cls(attribute, tuple(value), operator)
         if not isinstance(value, str):
-            raise RequestError("Invalid AVU: value is missing or not a string")
+            raise RequestError("an AVU needs a value that is a text")
         return cls(attribute, value, operator)
 
     def condition(self) -> Column:
@@ -106,10 +127,10 @@ class TimeClause:
         created = document.get("created", document.get("c"))
         modified = document.get("modified", document.get("m"))
         if created is None and modified is None:
-            raise RequestError("Invalid timestamp: missing created/modified property")
+            raise RequestError("a time clause names created or modified")
         operator = valid_operator(document.get("operator", document.get("o")))
         if operator in ("like", "not like", "in"):
-            raise RequestError(f"Invalid timestamp: operator '{operator}' does not apply to times")
+            raise RequestError(f"times cannot be compared with '{operator}'")
         field = "modified" if created is None else "created"
         return cls(field, modified if created is None else created, operator)
 

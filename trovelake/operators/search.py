@@ -59,16 +59,15 @@ def search(
     replicas differ in size gives a row per size.
     """
     if avus is None:
-        raise RequestError("Invalid query: avus property is missing")
+        raise RequestError("the target lists no AVUs")
     clauses = [Clause.of(avu) for avu in avus]
     spans = [TimeClause.of(t).condition() for t in timestamps]
     if access is not None and len(access) > 1:
         raise RequestError(
-            f"Invalid permissions specification (contains {len(access)} access elements); "
-            "cannot query on more than one access element at a time", GENERAL)
+            f"a search takes one permission, not {len(access)}", GENERAL)
     for entry in access or []:
         if str(entry.get("level")).lower() not in levels.LEVEL_TOKENS:
-            raise RequestError("Invalid permission level: expected one of ["
+            raise RequestError("unknown permission level; known are ["
                                + ", ".join(levels.LEVEL_TOKENS) + "]")
 
     def restricted(rows: DataFrame, subject_type: str, id_column: str) -> DataFrame:

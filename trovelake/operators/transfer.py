@@ -72,10 +72,10 @@ def checksum(catalogue: Catalogue, requests: DataFrame) -> tuple[Catalogue, Data
     verify = F.col("arguments.verify")
     answered = result.withColumn("error", F.coalesce("error", first_error(
         (F.col("md5").isNull(), error(F.format_string(
-            "Failed to list checksum of '%s': it has no content", "path"), errors.INPUT_PATH)),
+            "'%s' has no content to sum", "path"), errors.INPUT_PATH)),
         (verify & ~F.coalesce(text.equals_ignore_case(F.col("md5"), F.col("recorded")),
                               F.lit(False)),
-         error(F.format_string("Failed to verify the checksum of '%s': recorded %s, computed %s",
+         error(F.format_string("the content of '%s' does not have the recorded sum %s but %s",
                                "path", F.coalesce("recorded", F.lit("none")), "md5"),
                errors.CHECKSUM_MISMATCH)))))
     shown = F.when(verify | (F.col("recorded").isNotNull() & ~F.col("arguments.force")),
@@ -107,11 +107,11 @@ def fetched(catalogue: Catalogue, requests: DataFrame) -> DataFrame:
         "local_path": default_local_path(F.col("target")),
         "error": F.coalesce("error", first_error(
             (F.col("subject_type") != OBJECT, error(F.format_string(
-                "Cannot read the contents of '%s' because it is not a data object", "path"),
+                "get takes data objects only: '%s'", "path"),
                 errors.INPUT_PATH)),
             (~keep_raw & ~F.coalesce(text.maybe_utf8(F.col("content")), F.lit(True)),
              error(F.format_string(
-                 "The contents of '%s' cannot be encoded as UTF-8 for JSON output", "path"),
+                 "the content of '%s' is no UTF-8 text", "path"),
                  errors.INPUT_PATH)))),
     })
 
@@ -160,10 +160,10 @@ def uploads(requests: DataFrame, files: DataFrame) -> DataFrame:
         "checksum": F.when(arguments["verify"] | arguments["checksum"], md5),
         "error": F.coalesce("error", first_error(
             (F.col("has_file").isNull(), error(F.format_string(
-                "Failed to put data object: no local file '%s'", "local_path"),
+                "there is no local file '%s'", "local_path"),
                 errors.FILE_DOES_NOT_EXIST)),
             (differs, error(F.format_string(
-                "Failed to put data object: '%s' checksum mismatch", "path"),
+                "the file for '%s' does not have the supplied sum", "path"),
                 errors.CHECKSUM_MISMATCH)))),
     })
 
@@ -174,8 +174,12 @@ def upserted(contents: DataFrame, new: DataFrame) -> DataFrame:
     The last write of a path counts; repeating a write changes nothing.
     """
     keys = ["coll_path", "data_name"]
-    kept = contents.join(broadcast_if_small(new.select(*keys)), keys, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    rest = [F.col(c) for c in new.columns if c not in keys]
+    # of several writes of a path in one batch, the one with the highest data_id
+    last = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), "data_id").alias("row"))
+    last = last.select(*keys, "row.*")
+    kept = contents.join(broadcast_if_small(new.select(*keys).distinct()), keys, "left_anti")
+    return kept.unionByName(last, allowMissingColumns=True)
 
 
 def put(catalogue: Catalogue, requests: DataFrame,
@@ -193,7 +197,7 @@ def put(catalogue: Catalogue, requests: DataFrame,
     rows = checked.join(known, F.col("target.collection") == F.col("coll_path"), "left")
     rows = settled(rows.withColumn("error", F.coalesce("error", first_error(
         (F.col("coll_id").isNull(), error(F.format_string(
-            "Failed to put data object: '%s' has no collection", "path"),
+            "no collection to hold '%s'", "path"),
             errors.UNKNOWN_COLLECTION))))))
     # the last write of a path, picked by id before any content moves
     last = rows.where("error is null").groupBy("path").agg(

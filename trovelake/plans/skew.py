@@ -110,6 +110,11 @@ def lagged(rows: DataFrame, key: list[str], order: str, tie: str, value: str, na
         F.max_by(value, F.struct(order, tie)).alias("last"))
     before = ends.withColumn("before", F.lag("last").over(
         W.partitionBy(*key).orderBy("span"))).drop("last")
-    return inside.join(before, [*key, "span"]).withColumn(
+    # keys may be null
+    place = [*key, "span"]
+    before = before.withColumnsRenamed({c: f"before_{c}" for c in place})
+    same = [F.col(c).eqNullSafe(F.col(f"before_{c}")) for c in place]
+    joined = inside.join(before, same).drop(*[f"before_{c}" for c in place])
+    return joined.withColumn(
         name, F.when(F.col("inside").isNotNull(), F.col("inside.v")).otherwise(F.col("before"))
     ).drop("span", "inside", "before")

@@ -29,14 +29,17 @@ def order_targets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def object_requests(spark: SparkSession, sf: str, operation: str, *flags: str,
+                    arguments: dict[str, Column] | None = None, where: str = "true",
                     **target: Column) -> DataFrame:
     """One enveloped request per order."""
-    arguments = F.struct(*[F.lit(True).alias(f) for f in flags or ("object",)])
+    given = [F.lit(True).alias(f) for f in flags or ("object",)]
+    given += [v.alias(k) for k, v in (arguments or {}).items()]
     document = F.struct(
-        F.lit(operation).alias("operation"), arguments.alias("arguments"),
+        F.lit(operation).alias("operation"), F.struct(*given).alias("arguments"),
         F.struct("collection", "data_object", *[v.alias(k) for k, v in target.items()])
         .alias("target"))
-    return requests(lines(order_targets(spark, sf), F.col("o_orderkey"), document))
+    rows = order_targets(spark, sf).where(where)
+    return requests(lines(rows, F.col("o_orderkey"), document))
 
 
 def bare_requests(rows: DataFrame, request_id: Column, document: Column,

@@ -79,7 +79,7 @@ def key_synonyms(spark, sf):
 
 
 @query("prj09_error_in_band", """
-SELECT o_orderkey AS request_id, '{"code":-1,"message":"Invalid operation ''' || o_orderstatus ||
+SELECT o_orderkey AS request_id, '{"code":-1,"message":"unknown operation ''' || o_orderstatus ||
   '''"}' AS error FROM orders""")
 def error_in_band(spark, sf):
     """An unknown operation comes back with its error."""
@@ -113,8 +113,8 @@ def avus_from_lists(spark, sf):
 
 @query("fn21_typed_accessors", """
 SELECT o_orderkey AS request_id, CASE o_orderstatus
-  WHEN 'F' THEN 'Invalid ''collection'' property: not a JSON string'
-  WHEN 'O' THEN 'Invalid ''avus'' property: not a JSON array' END AS message FROM orders""")
+  WHEN 'F' THEN '''collection'' has to be a text'
+  WHEN 'O' THEN '''avus'' has to be a list' END AS message FROM orders""")
 def typed_accessors(spark, sf):
     """Members of a wrong JSON type."""
     status = F.col("o_orderstatus")
@@ -127,7 +127,7 @@ def typed_accessors(spark, sf):
 
 @query("fn22_mandatory_text", """
 SELECT o_orderkey AS request_id, CASE o_orderstatus
-  WHEN 'F' THEN 'Invalid attr_name: empty' WHEN 'O' THEN 'Invalid attr_value: empty' END
+  WHEN 'F' THEN 'an attribute to change is empty' WHEN 'O' THEN 'a value to change is empty' END
   AS message FROM orders""")
 def mandatory_text(spark, sf):
     """Attribute and value must not be empty in a change; units may be."""

@@ -89,9 +89,6 @@ class Catalogue:
     def good_replicas(self) -> DataFrame:
         return self.replicas.where(F.col("status") == "1")
 
-    def subject_paths(self) -> DataFrame:
-        return self.paths().select("subject_type", "subject_id", "coll_path", "data_name")
-
 
 def access_rows(acls: DataFrame, namespace: Column | None = None) -> DataFrame:
     """Load ACL rows: access tokens only, in user words."""

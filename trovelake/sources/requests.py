@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trovelake.functions import errors, levels, paths, times
@@ -145,6 +146,22 @@ def _target(document: Column) -> Column:
 
 # -- reading -------------------------------------------------------------------
 
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(request_id, line) of text files with a request per line; ids ascend with
+    the file's name and the line, whatever splits Spark reads.
+
+    Splits are numbered through one row each; lines keep their order within.
+    """
+    rows = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"))
+    splits = rows.select("file", "start").distinct().withColumn(
+        "split", F.row_number().over(W.orderBy("file", "start")) - 1)
+    return rows.where(F.trim("line") != "").join(splits, ["file", "start"]).select(
+        (F.col("split").cast("bigint") * (1 << 33) + F.col("place")).alias("request_id"), "line")
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """(request_id, line) to (request_id, line, document); NULL where the text
     is no JSON, or has a key twice."""
@@ -204,7 +221,7 @@ def _not_text(name: str) -> tuple[Column, Column]:
     document = F.col("target_document")
     return (
         _present(document, name) & ~_is("STRING", _member(document, name)),
-        error(f"Invalid '{name}' property: not a JSON string", errors.INVALID_ARGUMENT),
+        error(f"'{name}' has to be a text", errors.INVALID_ARGUMENT),
     )
 
 
@@ -212,7 +229,7 @@ def _not_array(name: str) -> tuple[Column, Column]:
     document = F.col("target_document")
     return (
         _present(document, name) & ~_is("ARRAY", _member(document, name)),
-        error(f"Invalid '{name}' property: not a JSON array", errors.INVALID_ARGUMENT),
+        error(f"'{name}' has to be a list", errors.INVALID_ARGUMENT),
     )
 
 
@@ -228,82 +245,81 @@ def validation_error() -> Column:
     all_objects = F.coalesce(F.forall(avus, lambda a: a["is_object"]), F.lit(True))
     level_names = ", ".join(levels.LEVEL_TOKENS)
     checks = [
-        (operation.isNull(), error("No operation given", errors.GENERAL)),
+        (operation.isNull(), error("the request names no operation", errors.GENERAL)),
         (~operation.isin(*OPERATIONS),
-         error(F.format_string("Invalid operation '%s'", operation), errors.GENERAL)),
+         error(F.format_string("unknown operation '%s'", operation), errors.GENERAL)),
         (~_is("OBJECT", F.col("target_document")),
-         error("Invalid target: not a JSON object", bad_argument)),
+         error("the target has to be an object", bad_argument)),
         (arguments["operation"].isNotNull() & ~arguments["operation"].isin(*METAMOD_OPERATIONS),
-         error(F.format_string("Invalid operation argument '%s'", arguments["operation"]),
+         error(F.format_string("metadata cannot be changed by '%s'", arguments["operation"]),
                errors.GENERAL)),
         *[_not_text(n) for n in ("collection", "data_object", "directory", "file")],
         *[_not_array(n) for n in ("avus", "access", "timestamps")],
         # where the target has to name a path
         (~operation.isin("metaquery", "specific") & ~is_any_path,
-         error("Invalid target: collection property is missing", bad_argument)),
+         error("the target names no collection", bad_argument)),
         (is_any_path & ~paths.is_absolute(target["collection"]),
-         error(F.format_string("Found relative path '%s'; only absolute paths are allowed",
+         error(F.format_string("the path '%s' does not start at the root",
                                target["collection"]), bad_argument)),
         ((operation == "checksum") & ~is_object,
-         error("cannot checksum a non-data-object", bad_argument)),
+         error("checksum takes data objects only", bad_argument)),
         ((operation == "remove") & ~is_object,
-         error("cannot remove a non-data-object", bad_argument)),
+         error("remove takes data objects only", bad_argument)),
         ((operation == "put") & ~is_object,
-         error("cannot write to a non-data-object", bad_argument)),
+         error("put takes data objects only", bad_argument)),
         ((operation == "get") & ~is_object,
-         error("Cannot read the contents of a non-data-object", errors.INPUT_PATH)),
+         error("get takes data objects only", errors.INPUT_PATH)),
         ((operation == "mkdir") & is_object,
-         error("cannot make a collection given a data object", bad_argument)),
+         error("mkdir takes collections only", bad_argument)),
         ((operation == "rmdir") & is_object,
-         error("cannot remove a collection given a data object", bad_argument)),
+         error("rmdir takes collections only", bad_argument)),
         ((operation == "move") & ~F.coalesce(F.length(arguments["path"]) > 0, F.lit(False)),
-         error("Invalid path argument: missing or empty", bad_argument)),
+         error("move needs the argument path", bad_argument)),
         ((operation == "move") & ~paths.is_absolute(arguments["path"]),
-         error("Invalid path argument: not absolute", bad_argument)),
+         error("the argument path does not start at the root", bad_argument)),
         (operation.isin("checksum", "put") & arguments["verify"] & arguments["checksum"],
-         error("Cannot both verify and update the checksum", errors.INPUT_OPTION)),
+         error("verify and checksum exclude each other", errors.INPUT_OPTION)),
         # metadata
         ((searches | changes_avus) & avus.isNull(),
-         error("Invalid target: avus property is missing", bad_argument)),
-        (~all_objects, error("Invalid AVU: not a JSON object", bad_argument)),
+         error("the target lists no AVUs", bad_argument)),
+        (~all_objects, error("an AVU has to be an object", bad_argument)),
         (F.exists(avus, lambda a: a["attribute"].isNull()),
-         error("Invalid AVU: attribute is missing or not a string", bad_argument)),
+         error("an AVU needs an attribute that is a text", bad_argument)),
         (searches & F.exists(avus, lambda a: a["operator"].isNull()),
          error(INVALID_OPERATOR, bad_argument)),
         (searches & F.exists(avus, lambda a: (a["operator"] == "in") & a["values"].isNull()),
-         error("Invalid AVU: operator 'in' needs a list of strings", bad_argument)),
+         error("the operator 'in' takes a list of texts", bad_argument)),
         (searches & F.exists(avus, lambda a: (a["operator"] != "in") & a["value"].isNull()),
-         error("Invalid AVU: value is missing or not a string", bad_argument)),
+         error("an AVU needs a value that is a text", bad_argument)),
         (changes_avus & F.exists(avus, lambda a: a["value"].isNull()),
-         error("Invalid AVU: value is missing or not a string", bad_argument)),
+         error("an AVU needs a value that is a text", bad_argument)),
         (changes_avus & F.exists(avus, lambda a: a["attribute"] == ""),
-         error("Invalid attr_name: empty", bad_argument)),
+         error("an attribute to change is empty", bad_argument)),
         (changes_avus & F.exists(avus, lambda a: a["value"] == ""),
-         error("Invalid attr_value: empty", bad_argument)),
-        ((operation == "metamod") & arguments["operation"].isNull() & F.col("enveloped"),
-         error("No metadata operation given", errors.GENERAL)),
+         error("a value to change is empty", bad_argument)),
+        ((operation == "metamod") & arguments["operation"].isNull(),
+         error("metamod needs the argument operation", errors.GENERAL)),
         # permissions
         ((operation == "chmod") & access.isNull(),
-         error("Permissions data is not in a JSON array", errors.GENERAL)),
+         error("chmod needs a list of permissions", errors.GENERAL)),
         (searches & (F.size(access) > 1),
          error(F.format_string(
-             "Invalid permissions specification (contains %d access elements); cannot query on "
-             "more than one access element at a time", F.size(access)), errors.GENERAL)),
+             "a search takes one permission, not %d", F.size(access)), errors.GENERAL)),
         (F.exists(access, lambda a: a["owner"].isNull() | (a["owner"] == "")),
-         error("Invalid permissions specification: owner is missing", bad_argument)),
+         error("a permission names no owner", bad_argument)),
         (F.exists(access, lambda a: ~levels.is_level(a["level"])),
-         error(f"Invalid permission level: expected one of [{level_names}]", bad_argument)),
+         error(f"unknown permission level; known are [{level_names}]", bad_argument)),
         # times
         (searches & F.exists(spans, lambda t: t["field"].isNull()),
-         error("Invalid timestamp: missing created/modified property", bad_argument)),
+         error("a time clause names created or modified", bad_argument)),
         (searches & F.exists(spans, lambda t: t["operator"].isNull()),
          error(INVALID_OPERATOR, bad_argument)),
         (searches & F.exists(spans, lambda t: t["operator"].isin("like", "not like", "in")),
-         error("Invalid timestamp: operator does not apply to times", bad_argument)),
+         error("times cannot be compared with that operator", bad_argument)),
         (searches & F.exists(spans, lambda t: t["at"].isNull()),
-         error("Invalid timestamp: could not be parsed", bad_argument)),
+         error("a time cannot be read", bad_argument)),
         ((operation == "specific") & target["specific"]["sql"].isNull(),
-         error("Invalid specific query: sql property is missing", bad_argument)),
+         error("a named query needs its name or text", bad_argument)),
     ]
     return first_error(*checks)
 
@@ -320,9 +336,12 @@ def target_path() -> Column:
 
 
 def run_totals(responses: DataFrame) -> DataFrame:
-    """Items and errors of a run, one row."""
+    """Items and errors of a run, one row; a response on several pages is one
+    item."""
+    first = F.col("page") == 0 if "page" in responses.columns else F.lit(True)
     return responses.agg(
-        F.count(F.lit(1)).alias("items"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+        F.count_if(first).alias("items"),
+        F.count_if(first & F.col("error").isNotNull()).alias("errors"))
 
 
 def echoed(rows: DataFrame) -> DataFrame:
