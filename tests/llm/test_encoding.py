@@ -40,11 +40,13 @@ def test_encoders_equal_the_library(library, make):
 
 def test_known_words_are_bounded_without_effect(library, monkeypatch):
     monkeypatch.setattr(bpe_trie, "KNOWN_WORDS", 5)
+    monkeypatch.setattr(bpe_trie, "KNOWN_CHUNKS", 4)
     monkeypatch.setattr(bpe_trie, "KNOWN_PAIRS", 5)
     own = bpe_trie.Encoder(bpe_trie.vocabulary_path())
-    for text in ["the cat sat on the mat", "dogs and cats\nand other animals", "the cat"]:
+    for text in ["the cat sat on the mat", "dogs and cats\nand other animals", "the cat", "the mat"]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(own.encoded([text])[0], "<u4").tolist() == ids
+    assert len(own.chunks.new) <= 8 and len(own.words.new) <= 12
 
 
 def test_digests_equal_the_library(spark, library):

@@ -9,8 +9,8 @@ of every node once, however many words share the prefix. The encoding of a word
 is read off by stepping back from its node, a token at a time.
 
 Documents never leave their partition: every task splits its texts, encodes the
-words that its worker has not met yet, and joins the ids of the words. The
-memory of known words is emptied at a fixed size; that only costs time.
+words that its worker has not met lately, and joins the ids of the words. The
+memory of known words has a fixed size; forgetting only costs time.
 
 * A null text is taken as the empty text: no ids, empty decoded text.
 * Words of any length are encoded whole.
@@ -20,16 +20,19 @@ memory of known words is emptied at a fixed size; that only costs time.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from trovelake.llm.common import query, rows_out, table, worker_cache
 
-KNOWN_WORDS = 300_000   # words a worker remembers
+KNOWN_CHUNKS = 250_000  # chunks between spaces that a worker remembers, twice
+KNOWN_WORDS = 300_000   # words that it remembers, twice
 KNOWN_PAIRS = 400_000   # token pairs a worker remembers
 
 # The split pattern of byte-level BPE, tried in this order.
@@ -53,12 +56,59 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Splitter:
+    """Texts -> words, as byte-level BPE splits them."""
+
+    def __init__(self, special: dict[str, int]):
+        import regex
+
+        self.special = special
+        self.words = regex.compile(PATTERN)
+        self.specials = regex.compile("|".join(
+            regex.escape(t) for t in sorted(special, key=len, reverse=True)) or r"(?!)")
+
+    def pieces(self, text: str) -> list[str]:
+        """The words of a text; special tokens are words of their own."""
+        if not self.special:
+            return self.words.findall(text)
+        out, at = [], 0
+        for match in self.specials.finditer(text):
+            out += self.words.findall(text[at:match.start()])
+            out.append(match.group())
+            at = match.end()
+        return out + (self.words.findall(text[at:]) if at else self.words.findall(text))
+
+
+class Remembered:
+    """A map of bounded size that forgets what was not asked for lately.
+
+    There are two generations; a full one becomes the old one, and what is asked
+    for again comes back from there. ``new`` holds all keys asked for last.
+    """
+
+    def __init__(self, limit: int):
+        self.new: dict = {}
+        self.old: dict = {}
+        self.limit = limit
+
+    def lacking(self, keys: set) -> list:
+        """The keys that are not known; the others are in ``new`` afterwards."""
+        if len(self.new) + len(keys) > self.limit:
+            self.old, self.new = self.new, {}
+        out, new, old = [], self.new, self.old
+        for key in keys:
+            if key not in new:
+                if key in old:
+                    new[key] = old[key]
+                else:
+                    out.append(key)
+        return out
+
+
 class Vocabulary:
     """Tokens as bytes, merge ranks and special tokens of a vocabulary file."""
 
     def __init__(self, path: str):
-        import regex
-
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         letters = byte_letters()
@@ -87,9 +137,6 @@ class Vocabulary:
             left, right = raw(left), raw(right)
             self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
         self.pairs: dict[int, bool] = {}
-        self.words = regex.compile(PATTERN)
-        self.specials = regex.compile("|".join(
-            regex.escape(t) for t in sorted(special, key=len, reverse=True)) or r"(?!)")
 
     def merged(self, content: bytes) -> list[int]:
         """Encoding of a short byte string by its merges, lowest rank first."""
@@ -156,20 +203,9 @@ class Vocabulary:
             end -= self.token_lengths[token]
         return ids[::-1]
 
-    def pieces(self, text: str) -> list[str]:
-        """The words of a text; special tokens are words of their own."""
-        if not self.special:
-            return self.words.findall(text)
-        out, at = [], 0
-        for match in self.specials.finditer(text):
-            out += self.words.findall(text[at:match.start()])
-            out.append(match.group())
-            at = match.end()
-        return out + self.words.findall(text[at:])
-
 
 class Encoder:
-    """Texts -> packed ids, with a bounded memory of chunks.
+    """Texts -> packed ids, with a bounded memory of chunks and words.
 
     A chunk runs from one space to the next. Between two characters that are no
     white space, a space always starts a new word, so chunks are encoded alone.
@@ -179,50 +215,48 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.chunks: dict[str, bytes | None] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.start(self.vocabulary.special)
+
+    def start(self, special: dict[str, int]) -> None:
+        self.splitter = Splitter(special)
+        self.special = {t: i.to_bytes(4, "little") for t, i in special.items()}
+        self.chunks, self.words = Remembered(KNOWN_CHUNKS), Remembered(KNOWN_WORDS)
 
-    def words_met(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > KNOWN_WORDS:
-            self.words = {}
-        new = [w for w in words if w not in self.words]
-        for word, ids in self.vocabulary.encode_words(new).items():
-            self.words[word] = np.array(ids, dtype="<u4").tobytes()
+    def encoded_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, packed."""
+        found = self.vocabulary.encode_words([w.encode() for w in words])
+        return [np.array(found[w.encode()], dtype="<u4").tobytes() for w in words]
 
     def pieces_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are split by the pattern as a whole."""
-        v = self.vocabulary
-        split = [[p if p in v.special else p.encode() for p in v.pieces(t)] for t in texts]
-        out = []
-        self.words_met({p for pieces in split for p in pieces if isinstance(p, bytes)})
-        for pieces in split:
-            out.append(b"".join(
-                self.words[p] if isinstance(p, bytes)
-                else v.special[p].to_bytes(4, "little") for p in pieces))
+        out: list[bytes] = []
+        for at in range(0, len(texts), 20_000):
+            split = [self.splitter.pieces(t) for t in texts[at:at + 20_000]]
+            lacking = self.words.lacking({p for own in split for p in own} - self.special.keys())
+            known = self.words.new
+            known.update(zip(lacking, self.encoded_words(lacking)))
+            known.update(self.special)
+            out += [b"".join(map(known.__getitem__, own)) for own in split]
         return out
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = []
-        for text in texts:
-            first, *rest = text.split(" ")
-            split.append((first, rest))
-        new = set()
-        for first, rest in split:
-            new.update(rest)
-        if len(self.chunks) + len(new) > KNOWN_WORDS:
-            self.chunks = {}
-        new = [c for c in new if c not in self.chunks]
+        split = [text.split(" ") for text in texts]
+        firsts = self.pieces_packed([own[0] for own in split])
+        asked: set[str] = set()
+        for own in split:
+            asked.update(own)
+        new = self.chunks.lacking(asked)
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        self.chunks.update(dict.fromkeys(new))
-        self.chunks.update(zip(plain, self.pieces_packed([" " + c for c in plain])))
+        known = self.chunks.new
+        known.update(dict.fromkeys(new))
+        known.update(zip(plain, self.pieces_packed([" " + c for c in plain])))
         out: list[bytes | None] = []
-        firsts = self.pieces_packed([first for first, _ in split])
-        for (first, rest), start in zip(split, firsts):
+        for own, start in zip(split, firsts):
             try:
-                if rest and (not first or first[-1].isspace()):
+                if len(own) > 1 and (not own[0] or own[0][-1].isspace()):
                     raise TypeError
-                out.append(start + b"".join(map(self.chunks.__getitem__, rest)))
+                out.append(start + b"".join(map(known.__getitem__, itertools.islice(own, 1, None))))
             except TypeError:  # a chunk that cannot stand alone
                 out.append(None)
         whole = [i for i, packed in enumerate(out) if packed is None]
@@ -244,17 +278,15 @@ def encoder(path: str) -> Encoder:
     return cache[path]
 
 
-def slices(texts: list[str], limit: int = 4_000_000) -> Iterator[list[str]]:
-    """Runs of texts of at most ``limit`` characters, or of one text."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > limit:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+def slices(batch: pa.RecordBatch, limit: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
+    """(doc_ids, texts) of runs of rows of about ``limit`` bytes, or of one row."""
+    texts = batch["text"]
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes) - sizes) // limit
+    edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1))
+    for start, end in zip(edges, edges[1:]):
+        yield (batch["doc_id"].slice(start, end - start).to_pylist(),
+               [t or "" for t in texts.slice(start, end - start).to_pylist()])
 
 
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
@@ -269,11 +301,8 @@ def encoded(documents: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            keys, at = batch["doc_id"].to_pylist(), 0
-            for texts in slices([t or "" for t in batch["text"].to_pylist()]):
-                ids = own.encoded(texts)
-                yield rows_out(IDS, {"doc_id": keys[at:at + len(ids)], "ids": ids})
-                at += len(ids)
+            for keys, texts in slices(batch):
+                yield rows_out(IDS, {"doc_id": keys, "ids": own.encoded(texts)})
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 

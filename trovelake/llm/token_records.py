@@ -47,15 +47,15 @@ from trovelake.llm.bpe_trie import Encoder, slices, vocabulary_path
 from trovelake.llm.common import query, rows_out, table, worker_cache
 from trovelake.session import shared_folder
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 END_ID = 2
 NULL_ID, NARROW = 1, 2
 HEAD = "<BqI"   # flags, doc_id, number of ids
 
 
 class LibraryEncoder(Encoder):
-    """Texts -> packed ids by the tokenizers library, with a bounded memory of
-    chunks between spaces (see ``Encoder``)."""
+    """Texts -> packed ids by the tokenizers library, which is asked for each
+    distinct word that the worker does not remember (see ``Encoder``)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work
@@ -64,10 +64,11 @@ class LibraryEncoder(Encoder):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunks: dict[str, bytes | None] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.start({token.content: number for number, token in added.items()})
 
-    def pieces_packed(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def encoded_words(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
 
@@ -137,12 +138,10 @@ def written(documents: DataFrame, folder: str, path: str, end_id: int = END_ID)
                                      "chunk": [f"c{task:08d}-{number:06d}"]})
 
         for batch in batches:
-            keys, at = batch["doc_id"].to_pylist(), 0
-            for texts in slices([t or "" for t in batch["text"].to_pylist()]):
-                for packed in own.encoded(texts):
-                    held.append(frame(payload_of(keys[at], packed + end)))
+            for keys, texts in slices(batch):
+                for key, packed in zip(keys, own.encoded(texts)):
+                    held.append(frame(payload_of(key, packed + end)))
                     size += len(held[-1])
-                    at += 1
                     if size >= CHUNK_BYTES:
                         yield chunk()
                         held, size, number = [], 0, number + 1
