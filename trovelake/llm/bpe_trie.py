@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trovelake.llm.common import query, rows_out, table, worker_cache
 
-KNOWN_CHUNKS = 250_000  # chunks between spaces that a worker remembers, twice
-KNOWN_WORDS = 300_000   # words that it remembers, twice
-KNOWN_PAIRS = 400_000   # token pairs a worker remembers
+KNOWN_CHUNKS = 120_000  # chunks between spaces that a worker remembers, twice
+KNOWN_WORDS = 150_000   # words that it remembers, twice
+KNOWN_PAIRS = 200_000   # token pairs a worker remembers
 
 # The split pattern of byte-level BPE, tried in this order.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"

@@ -35,10 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def worker_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, over its tasks.
 
-    Functions sent by value have no module in the worker to keep it in.
+    Functions sent by value have no module in the worker to keep it in. Asking
+    for one name drops the others: a worker remembers for one operator at a time.
     """
     holder = sys.modules.setdefault("_trovelake_worker", types.ModuleType("_trovelake_worker"))
-    return holder.__dict__.setdefault(name, {})
+    kept = holder.__dict__.setdefault("kept", {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = {}
+    return kept[name]
 
 
 def held_out(key: str, modulus: int, remainder: int) -> Column:
@@ -113,7 +118,7 @@ class CellFilter:
 class WordHashes(dict):
     """word -> 64-bit hash; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trovelake.llm.common import as_bytes, query, rows_out, table
+from trovelake.llm.common import as_bytes, query, rows_out, table, worker_cache
 from trovelake.plans.settle import settled
 
 ROLL = 2         # lines that the rolling hash covers
@@ -74,6 +74,7 @@ def chunks(documents: DataFrame) -> DataFrame:
     first to last, both included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("lines")  # frees what an operator before has left
         for batch in batches:
             out: dict[str, list] = {name: [] for name in CHUNKS.names}
             size = 0

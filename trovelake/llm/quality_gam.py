@@ -27,12 +27,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from trovelake.llm.common import as_bytes, held_out, query, rows_out, table
+from trovelake.llm.common import as_bytes, held_out, query, rows_out, table, worker_cache
 
 FEATURES = [
     "log_bytes", "log_words", "word_bytes", "upper", "digits", "punctuation", "symbols",
@@ -215,6 +216,7 @@ def trained(documents: DataFrame, labels: DataFrame, training=None) -> Model:
     examples = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("quality")
         for batch in batches:
             rows = matrix(batch)
             yield pa.RecordBatch.from_arrays(
@@ -248,11 +250,20 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(documents: DataFrame, labels: DataFrame, training=None) -> DataFrame:
-    """The documents that score at least THRESHOLD, with their columns."""
+    """The documents that score at least THRESHOLD, with their columns.
+
+    Only texts go to Python and only scores come back.
+    """
     model = trained(documents, labels, training)
-    own = documents.select(F.struct("*").alias("row"), "text")
-    kept = scored(own, model).where(F.col("score") >= THRESHOLD)
-    return kept.select("row.*")
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        worker_cache("quality")  # frees what an operator before has left
+        rows = [features_of(None if t is None else t.encode()) for t in texts]
+        return pd.Series(model.scores(np.array(rows, dtype=float).reshape(len(rows), len(FEATURES))))
+
+    kept = documents.select(F.struct("*").alias("row"), score("text").alias("score"))
+    return kept.where(F.col("score") >= THRESHOLD).select("row.*")
 
 
 @query("op5_quality_gam")
