@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tables import documents, mixed_texts, prose
+from tables import documents, mixed_texts, prose, sentence
 
 from trovelake.llm import (
     katz_backoff, line_chunks, quality_gam, shingle_join, template_decontamination,
@@ -155,6 +155,25 @@ def test_boundaries_resist_shifts():
     assert len(first & second) >= len(first) - 2
 
 
+def test_whole_repeated_stretches_go(spark):
+    """Wherever a stretch of two or more lines stands, and whatever its hashes."""
+    rng = random.Random(11)
+    stretches = [[f"s{n} {sentence(rng, 9)}" for _ in range(n)] for n in (2, 2, 3, 3, 4, 5) * 5]
+    stretches.append(["s split", "", "s by a blank line"])
+    texts, alone = [], ["lone line", "", "x"]
+    for copy in range(2):
+        for k, lines in enumerate(stretches):
+            around = [f"{side}{copy}.{k} {sentence(rng, 8)}" for side in "ab"]
+            texts.append("\n".join([around[0], *lines, around[1], *alone[:2], f"c{copy}.{k}"]))
+    rows = line_chunks.deduplicated(documents(spark, texts)).collect()
+    got = {r.doc_id: r.removed_lines for r in rows}
+    n = len(stretches)
+    assert [got[i] for i in range(n)] == [0] * n
+    assert [got[n + i] for i in range(n)] == [len(lines) for lines in stretches]
+    # a line that repeats by itself stays
+    assert all("lone line" in r.row.text for r in rows)
+
+
 def test_line_dedup_of_empty_table(spark):
     assert line_chunks.deduplicated(documents(spark, [])).collect() == []
 

@@ -3,14 +3,20 @@
 The lines of a text are hashed; a rolling hash over the last ``ROLL`` line
 hashes chooses where a chunk ends, so that boundaries depend on the lines around
 them only and an inserted line shifts nothing behind it. A line of over
-``LONG_WORDS`` words is a paragraph of its own and always forms a chunk. Chunks
+``LONG_WORDS`` words is a paragraph of its own and always forms a chunk. Where
+the ends fall depends on the lines around a passage, so every two neighbouring
+lines that are not blank are a chunk too, with the blank lines between them: a
+repeated stretch of two or more lines is found whole, wherever it stands. Chunks
 of two or more lines, and such paragraphs, that occur more than once in the
 corpus (also within one document) are removed, except for the first occurrence
-by (doc_id, position).
-
-Chunks are compared by their bytes: they are grouped by their digest and bytes,
-combined before the shuffle, so a chunk that half of the corpus holds is one row
-per task. Only a digest that stands for a single byte string leads to removal.
+by (doc_id, position). Chunks overlap; a line goes only if an equal line stays
+at an earlier place.
+
+Chunks are compared by their bytes. A first pass counts 64-bit keys, and a
+filter of fixed size drops beside the scan most chunks that occur once. The rest
+are grouped by their digest and bytes, combined before the shuffle, so a chunk
+that half of the corpus holds is one row per task. Only a digest that stands for
+a single byte string leads to removal.
 Decisions are spans per document; the texts meet them in one join.
 
 * A null text stays null, an empty one empty. Documents without a removed chunk
@@ -26,12 +32,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trovelake.llm.common import as_bytes, query, rows_out, table, worker_cache
+from trovelake.llm.common import (
+    CellFilter, as_bytes, mixed, query, rows_out, table, worker_cache,
+)
 from trovelake.plans.settle import settled
 
 ROLL = 2         # lines that the rolling hash covers
@@ -39,13 +48,21 @@ DIVISOR = 2      # a line ends a chunk if the rolling hash is divisible by this
 LONG_WORDS = 50  # a line with more words is a chunk of its own
 MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15
+FILTER_CELLS = 1 << 24
 
 
 def chunk_bounds(lines: list[bytes]) -> list[tuple[int, int, bool]]:
     """(first line, line after the last, counts) of each chunk."""
+    return bounds_of(lines, line_hashes(lines))
+
+
+def line_hashes(lines: list[bytes]) -> list[int]:
     import xxhash
 
-    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
+    return [xxhash.xxh3_64_intdigest(line) for line in lines]
+
+
+def bounds_of(lines: list[bytes], hashes: list[int]) -> list[tuple[int, int, bool]]:
     out, start, rolling = [], 0, 0
     drop = pow(BASE, ROLL, 1 << 64)
     for i, line in enumerate(lines):
@@ -62,27 +79,63 @@ def chunk_bounds(lines: list[bytes]) -> list[tuple[int, int, bool]]:
             start = i + 1
     if start < len(lines):
         out.append((start, len(lines), len(lines) - start >= 2))
+    filled = [i for i, line in enumerate(lines) if line and not line.isspace()]
+    known = {(a, b) for a, b, _ in out}
+    out += [(i, j + 1, True) for i, j in zip(filled, filled[1:]) if (i, j + 1) not in known]
     return out
 
 
+def chunk_keys(hashes: list[int], bounds: list[tuple[int, int, bool]]) -> np.ndarray:
+    """64-bit key of each chunk, from the hashes of its lines."""
+    if not bounds:
+        return np.zeros(0, dtype=np.int64)
+    own = np.array(hashes, dtype=np.uint64)
+    first, last = (np.array([b[side] for b in bounds]) for side in (0, 1))
+    keys = (last - first).astype(np.uint64)
+    for place in range(int((last - first).max())):
+        inside = first + place < last
+        keys[inside] = mixed(keys[inside] * np.uint64(BASE) + own[first[inside] + place])
+    return keys.view(np.int64)
+
+
 CHUNKS = pa.schema([("doc_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
                     ("digest", pa.binary()), ("chunk", pa.binary())])
 
 
-def chunks(documents: DataFrame) -> DataFrame:
-    """(doc_id, first, last, digest, chunk) of the chunks that count; lines
-    first to last, both included."""
+def keys(documents: DataFrame) -> DataFrame:
+    """(key) of every chunk that counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("lines")  # frees what an operator before has left
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.int64)]
+            for text in as_bytes(batch["text"]):
+                lines = text.split(b"\n") if text else []
+                hashes = line_hashes(lines)
+                found.append(chunk_keys(hashes, [b for b in bounds_of(lines, hashes) if b[2]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["key"])
+
+    return documents.where("doc_id is not null").select("text").mapInArrow(run, "key long")
+
+
+def chunks(documents: DataFrame, passing: CellFilter) -> DataFrame:
+    """(doc_id, first, last, digest, chunk) of the chunks that count and may
+    occur more than once; lines first to last, both included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("lines")  # frees what an operator before has left
+        marks = passing.marks()
         for batch in batches:
             out: dict[str, list] = {name: [] for name in CHUNKS.names}
             size = 0
             for key, text in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"])):
                 lines = text.split(b"\n") if text else []
-                for start, end, counts in chunk_bounds(lines):
+                hashes = line_hashes(lines)
+                bounds = [b for b in bounds_of(lines, hashes) if b[2]]
+                for at in np.flatnonzero(marks[chunk_keys(hashes, bounds) % passing.cells]):
+                    start, end, _ = bounds[at]
                     chunk = b"\n".join(lines[start:end])
-                    if not counts or not chunk.strip():
+                    if not chunk.strip():
                         continue
                     out["doc_id"].append(key)
                     out["first"].append(start)
@@ -113,8 +166,10 @@ def repeated(found: DataFrame) -> DataFrame:
 
 def removed_spans(documents: DataFrame) -> DataFrame:
     """(doc_id, first, last, digest) of every chunk that is to be removed."""
-    again = settled(repeated(chunks(documents)))
-    places = chunks(documents).select("doc_id", "first", "last", "digest")
+    often = keys(documents).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    passing = CellFilter(often.select("key"), FILTER_CELLS)
+    again = settled(repeated(chunks(documents, passing)))
+    places = chunks(documents, passing).select("doc_id", "first", "last", "digest")
     return places.join(again, "digest").where(
         F.struct("doc_id", "first") != F.col("keep")
     ).select("doc_id", "first", "last", "digest")
