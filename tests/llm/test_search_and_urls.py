@@ -96,5 +96,25 @@ def test_template_tree_rejects_by_labelled_share(spark):
     assert len(got) == len(urls)
 
 
+def test_templates_do_not_change_as_rows_repeat(spark):
+    """Each page 30 times: 10 different children for 300 rows are still variable."""
+    urls = [f"http://h.net/{a}/{b}" for a in ("es", "en") for b in range(10)]
+    once, often = judged(spark, urls), judged(spark, urls * 30)
+    assert {r.template for r in once.values()} == {"/+/*"}
+    assert {r.template for r in often.values()} == {"/+/*"}
+
+
+def test_branches_without_labels_are_judged_by_siblings_or_parent(spark):
+    urls = [f"http://h.net/es/{b}" for b in range(20)]      # blocked by a rule
+    urls += [f"http://h.net/en/{b}" for b in range(20)]     # of like structure
+    urls += [f"http://h.net/de/{b}/x" for b in range(20)]   # only the host has examples
+    urls += [f"http://other.org/en/{b}" for b in range(20)]  # nothing is known
+    got = judged(spark, urls)
+    assert [got[i].template for i in (0, 20, 40, 60)] == ["/+/*", "/+/*", "/**", "/en/*"]
+    assert [got[i].examples for i in (0, 20, 40, 60)] == [20, 20, 20, 0]
+    assert [got[i].verdict for i in (0, 20, 40)] == ["block"] * 3
+    assert got[60].verdict == "allow"  # fewer than LEAST_EXAMPLES
+
+
 def test_url_filter_of_empty_table(spark):
     assert judged(spark, []) == {}

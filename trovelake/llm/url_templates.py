@@ -5,8 +5,13 @@ with many different children becomes a wildcard (``*``), so that
 ``/en/825`` and ``/en/676`` meet in ``/en/*``. Leaves are templates. URLs that a
 rule decides are the labelled examples. Sibling branches, templates that differ
 in their first fixed segment only, whose share of blocked examples is
-statistically the same, are merged and pool their examples. A template whose smoothed share of blocked
-examples reaches the threshold is rejected.
+statistically the same, are merged and pool their examples. A branch without
+examples is merged with its siblings of like structure; where these have none
+either, the nearest node above it that has some stands for it. A template whose
+smoothed share of blocked examples reaches the threshold is rejected.
+
+What makes a node a wildcard is how many different children it has, not how
+often each occurs, so a tree does not change as the rows of a host multiply.
 
 Only DataFrame functions are used. A hot host is combined before each shuffle;
 its rows meet the (small) node tables in joins that Spark can split.
@@ -28,8 +33,7 @@ from trovelake.llm.common import ascii_lower, query, table
 from trovelake.plans.settle import settled
 
 LEVELS = 4           # levels of the tree
-WILD_CHILDREN = 8    # a node with at least so many different children ...
-WILD_SHARE = 0.05    # ... and so many for each row is a wildcard
+WILD_CHILDREN = 8    # a node with at least so many different children is a wildcard
 SMOOTHING = 4.0      # examples that the prior counts as
 THRESHOLD = 0.8      # smoothed share of blocked examples that rejects
 LEAST_EXAMPLES = 3   # a template with fewer examples is not rejected
@@ -73,13 +77,11 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
                    else F.get("segments", F.lit(level)))
         there = F.size("segments") > level
         rows = rows.withColumn("segment", F.when(there, segment))
-        children = rows.where(there).groupBy("host", "template", "segment").agg(
-            F.count(F.lit(1)).alias("n"))
+        children = rows.where(there).select("host", "template", "segment").distinct()
         wild = (
             children.groupBy("host", "template")
-            .agg(F.count(F.lit(1)).alias("children"), F.sum("n").alias("n"))
-            .where((F.col("children") >= WILD_CHILDREN)
-                   & (F.col("children") >= WILD_SHARE * F.col("n")))
+            .agg(F.count(F.lit(1)).alias("children"))
+            .where(F.col("children") >= WILD_CHILDREN)
             .select("host", "template", F.lit(True).alias("wild"))
         )
         name = F.when(F.col("wild"), F.lit("*")).otherwise(F.col("segment"))
@@ -101,12 +103,25 @@ def merged_purity(leaves: DataFrame) -> DataFrame:
         F.sum("labelled").alias("pool_labelled"), F.sum("blocked").alias("pool_blocked"))
     share = F.col("pool_blocked") / F.col("pool_labelled")
     deviation = F.sqrt(F.col("labelled") * share * (1 - share))
-    similar = (F.col("labelled") > 0) & (
+    similar = F.col("pool_labelled").isNotNull() & (
         F.abs(F.col("blocked") - F.col("labelled") * share) <= SIMILAR_Z * deviation)
-    marked = leaves.withColumn("branch", branch).join(pool, ["host", "branch"], "left").withColumn(
-        "node", F.when(similar, F.col("branch")).otherwise(F.col("template")))
+    above, ancestor = with_examples_above(leaves), F.col("ancestor")
+    marked = leaves.withColumn("branch", branch).join(pool, ["host", "branch"], "left").join(
+        above, ["host", "template"], "left").withColumn(
+        "node", F.when(similar, F.col("branch"))
+        .when(ancestor.isNotNull(), F.concat(ancestor, F.lit("/**")))
+        .otherwise(F.col("template")))
+    # labelled leaves pool their examples; where none is in a branch, its siblings do
     nodes = marked.groupBy("host", "node").agg(
-        F.sum("labelled").alias("examples"), F.sum("blocked").alias("bad"))
+        F.sum("labelled").alias("own"), F.sum("blocked").alias("own_bad"),
+        F.max(F.when(similar, F.struct("pool_labelled", "pool_blocked")).otherwise(F.struct(
+            F.col("above_labelled").alias("pool_labelled"),
+            F.col("above_blocked").alias("pool_blocked")))).alias("lent"))
+    lent = F.col("own") == 0
+    nodes = nodes.select(
+        "host", "node",
+        F.when(lent, F.coalesce("lent.pool_labelled", F.lit(0))).otherwise(F.col("own")).alias("examples"),
+        F.when(lent, F.coalesce("lent.pool_blocked", F.lit(0))).otherwise(F.col("own_bad")).alias("bad"))
     prior = leaves.agg((F.coalesce(F.sum("blocked"), F.lit(0))
                         / F.greatest(F.sum("labelled"), F.lit(1))).alias("prior")).scalar()
     purity = (F.col("bad") + SMOOTHING * prior) / (F.col("examples") + SMOOTHING)
@@ -117,6 +132,24 @@ def merged_purity(leaves: DataFrame) -> DataFrame:
         .alias("rejected"))
 
 
+def with_examples_above(leaves: DataFrame) -> DataFrame:
+    """(host, template, ancestor, above_labelled, above_blocked): for templates
+    without examples the deepest node above that has some."""
+    parts = F.split("template", "/")
+    # a template has at most LEVELS + 1 nodes above it, the root is ""
+    above = leaves.withColumn("ancestor", F.explode(F.transform(
+        F.sequence(F.lit(1), F.least(F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(LEVELS))),
+        lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))))
+    known = above.groupBy("host", "ancestor").agg(
+        F.sum("labelled").alias("above_labelled"), F.sum("blocked").alias("above_blocked")
+    ).where("above_labelled > 0")
+    deepest = F.max(F.struct(F.length("ancestor").alias("depth"), "ancestor",
+                             "above_labelled", "above_blocked")).alias("best")
+    return above.where("labelled = 0").select("host", "template", "ancestor").join(
+        known, ["host", "ancestor"]).groupBy("host", "template").agg(deepest).select(
+        "host", "template", "best.ancestor", "best.above_labelled", "best.above_blocked")
+
+
 def filtered(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """Judge the ``url`` of every page.
 
