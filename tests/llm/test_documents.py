@@ -83,6 +83,42 @@ def test_components_equal_brute_force(spark, seed, base, copies, edits):
     assert sorted(map(tuple, got), key=str) == sorted(components(texts, ids), key=str)
 
 
+def family_texts(seed, pairs):
+    """Members that differ from a central text by more than the limit, two and
+    two alike, and the central text."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for p in range(pairs):
+        words = list(base)
+        for at in rng.sample(range(0, 200, 5), 8):
+            words[at] = f"p{p}w{at}"
+        for m in range(2):
+            own = list(words)
+            for at in rng.sample([i for i in range(200) if words[i] == base[i]], 2):
+                own[at] = f"m{p}.{m}.{at}"
+            texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_repeated_rows_lose_no_link(spark, monkeypatch, several):
+    texts = family_texts(5, 12)
+    # an order that leaves the family in one group: what it shares comes first
+    classes = np.full(shingle_join.CELLS, 255, dtype=np.uint8)
+    classes[shingle_join.cells_of(shingle_join.shingles(texts[0].encode()))] = 0
+    monkeypatch.setattr(shingle_join, "frequency_classes", lambda *_: classes)
+    ids = list(range(len(texts)))
+    if several:  # doc_ids that also have another text
+        texts += [t + " " + " ".join(f"e{i}x{j}" for j in range(3)) for i, t in enumerate(texts)]
+        ids += ids
+    expected = dict((i, c) for i, _, c in components(texts, ids))
+    assert len(set(expected.values())) > 10
+    got = shingle_join.clustered(documents(spark, texts * 6, ids * 6)).collect()
+    assert len(got) == 6 * len(texts)
+    assert {(r.doc_id, r.component_id) for r in got} == set(expected.items())
+
+
 def test_components_of_empty_table(spark):
     assert shingle_join.clustered(documents(spark, [])).collect() == []
 
