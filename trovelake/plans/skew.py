@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trovelake.plans.settle import settled
+
 # A group above this many rows is split over tasks.
 HOT_ROWS = 1_000_000
 # Entries of one nested array; a larger group continues on further pages.
@@ -74,6 +76,23 @@ def numbered(rows: DataFrame, key: list[str], order: list[str], split: list[str]
     return normal.unionByName(split_up.select(normal.columns))
 
 
+def positioned(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the 0-based position of each row in the order of the whole table.
+
+    Rows are range-partitioned and sorted once; the only table that one task
+    orders holds a row per partition.
+    """
+    laid = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = settled(laid.withColumn("placed", F.monotonically_increasing_id()))
+    part = F.shiftright("placed", 33)
+    counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    shifts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    inside = F.col("placed").bitwiseAND((1 << 33) - 1)
+    return placed.withColumn("part", part).join(F.broadcast(shifts), "part").withColumn(
+        name, F.col("shift") + inside).drop("part", "placed", "shift")
+
+
 def page_counts(rows: DataFrame, key: list[str], page_rows: int = PAGE_ROWS) -> DataFrame:
     """(key, pages) of the groups that need more than one page."""
     return hot_groups(rows, key, page_rows).select(
