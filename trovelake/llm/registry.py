@@ -1,8 +1,9 @@
 """All queries of this subpackage, with the SQL of those that have one."""
 
 from trovelake.llm import (  # noqa: F401  (each module fills QUERIES)
-    bpe_trie, katz_backoff, kd_search, line_chunks, quality_gam, shingle_join,
-    template_decontamination, token_records, url_templates, warc_derivatives,
+    bpe_trie, embedding_whitening, katz_backoff, kd_search, line_chunks, quality_gam,
+    shingle_join, source_mixing, template_decontamination, token_alignment, token_records,
+    url_templates, warc_derivatives,
 )
 from trovelake.llm.common import ORACLES, QUERIES
 
