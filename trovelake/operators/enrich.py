@@ -9,6 +9,7 @@ pages, which is how documents are written out.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,22 +18,31 @@ from trovelake.functions import documents as doc
 from trovelake.functions import errors, levels, paths
 from trovelake.functions.errors import error, first_error
 from trovelake.plans.settle import settled
-from trovelake.plans.skew import PAGE_ROWS, broadcast_if_small, nested, page_counts
+from trovelake.plans.skew import PAGE_ROWS, gathered, paged
 from trovelake.sources.catalogue import COLLECTION, OBJECT, Catalogue
 
 SUBJECT = ["subject_type", "subject_id"]
 PROPERTIES = ("acl", "avu", "checksum", "timestamp", "replicate")
+# Types of the properties, for those that nothing is planned for.
+EMPTY = {
+    "access": "array<struct<level: string, owner: string, zone: string>>",
+    "avus": "array<struct<attribute: string, units: string, value: string>>",
+    "checksum": "variant",
+    "replicates": "array<struct<checksum: variant, location: string, number: int, "
+                  "resource: string, valid: boolean>>",
+    "timestamps": "array<struct<created: string, modified: string, replicates: int>>",
+}
 
 
 # -- one row per child ---------------------------------------------------------
 
 def avu_rows(catalogue: Catalogue) -> DataFrame:
-    return catalogue.avus.select(
+    return catalogue.of_subjects("avus").select(
         *SUBJECT, "attribute", "value", F.nullif("units", F.lit("")).alias("units"))
 
 
 def acl_rows(catalogue: Catalogue) -> DataFrame:
-    return catalogue.acls.select(
+    return catalogue.of_subjects("acls").select(
         *SUBJECT, "owner", "owner_zone", levels.level_word(F.col("level")).alias("level"))
 
 
@@ -42,7 +52,8 @@ def _of_objects(rows: DataFrame) -> DataFrame:
 
 
 def timestamp_rows(catalogue: Catalogue) -> DataFrame:
-    return _of_objects(catalogue.replicas.select("data_id", "repl_num", "created", "modified"))
+    return _of_objects(catalogue.of_subjects("replicas").select(
+        "data_id", "repl_num", "created", "modified"))
 
 
 def located_resources(resources: DataFrame) -> DataFrame:
@@ -54,12 +65,12 @@ def located_resources(resources: DataFrame) -> DataFrame:
 def replicate_rows(catalogue: Catalogue, replicas: DataFrame | None = None) -> DataFrame:
     """Replicas with the location of their resource, the leaf of the hierarchy
     in the zone of the path. Exactly one such resource must exist."""
-    replicas = catalogue.replicas if replicas is None else replicas
+    replicas = catalogue.of_subjects("replicas") if replicas is None else replicas
     rows = replicas.select(
         "data_id", "coll_path", "repl_num", "status", "checksum",
         paths.hierarchy_leaf(F.col("resc_hier")).alias("resource"),
         paths.zone_name(F.col("coll_path")).alias("zone"),
-    ).join(broadcast_if_small(located_resources(catalogue.resources)), ["resource", "zone"],
+    ).join(located_resources(catalogue.resources), ["resource", "zone"],
            "left")
     n_found = F.coalesce("n_found", F.lit(0))
     return _of_objects(rows.select(
@@ -153,53 +164,69 @@ def enriched(items: DataFrame, catalogue: Catalogue, page_rows: int = PAGE_ROWS)
     ``items`` has the subject columns and ``wants``. The result has ``page``
     and one column per property. An item whose children fit on one page is one
     row; others continue on further rows, each with the next part of the array.
+    Only properties that some item wants are looked up.
     """
     items = settled(items)
-    children, hot = {}, None
-    for name in ("acl", "avu", "timestamp", "replicate"):
+    # five flags: a property that no item wants is not planned
+    any_wants = items.agg(*[F.bool_or(f"wants.{p}").alias(p) for p in PROPERTIES]).first()
+    planned = [p for p in PROPERTIES if any_wants[p]]
+    found, shapes, more = items.withColumn("page", F.lit(0)), {}, []
+    for name in planned:
+        if name == "checksum":
+            continue
         asked = items.where(F.col(f"wants.{name}")).select(*SUBJECT).distinct()
-        rows, shape = _entries(catalogue, name)
-        rows = rows.join(broadcast_if_small(asked), SUBJECT, "left_semi")
-        children[name] = (nested(rows, SUBJECT, f"{name}_entries", page_rows), shape)
-        counts = page_counts(rows, SUBJECT, page_rows)
-        hot = counts if hot is None else hot.unionByName(counts)
-    pages = hot.groupBy(*SUBJECT).agg(F.max("pages").alias("pages"))
-    found = items.join(pages, SUBJECT, "left").withColumn(
-        "page", F.explode(F.sequence(F.lit(0), F.coalesce("pages", F.lit(1)) - 1))).drop("pages")
-    for rows, _ in children.values():
+        rows, shapes[name] = _entries(catalogue, name)
+        pages, hot = paged(rows.join(asked, SUBJECT, "left_semi"), SUBJECT, page_rows)
+        shapes[name] = (gathered(pages, SUBJECT, f"{name}_entries"), shapes[name])
+        more += [] if hot is None else [hot]
+    if more:
+        most = reduce(DataFrame.unionByName, more).groupBy(*SUBJECT).agg(
+            F.max("pages").alias("pages"))
+        found = items.join(most, SUBJECT, "left").withColumn("page", F.explode(F.sequence(
+            F.lit(0), F.coalesce("pages", F.lit(1)) - 1))).drop("pages")
+    for rows, _ in shapes.values():
         found = found.join(rows, [*SUBJECT, "page"], "left")
-
-    asked = items.where(F.col("wants.checksum") & (F.col("subject_type") == OBJECT))
-    sums = checksum_rows(catalogue.replicas.join(
-        broadcast_if_small(asked.select(F.col("subject_id").alias("data_id")).distinct()),
-        "data_id", "left_semi")).withColumn("has_sum", F.lit(True))
-    found = found.join(sums.withColumnRenamed("error", "sum_error"), SUBJECT, "left")
-
-    def entries(name: str, shape) -> Column:
-        return F.transform(F.coalesce(f"{name}_entries", F.array()), shape)
+    if "checksum" in planned:
+        asked = items.where(F.col("wants.checksum") & (F.col("subject_type") == OBJECT)).select(
+            F.col("subject_id").alias("data_id")).distinct()
+        sums = checksum_rows(catalogue.of_subjects("replicas").join(
+            asked, "data_id", "left_semi"))
+        found = found.join(sums.withColumn("has_sum", F.lit(True)).withColumnRenamed(
+            "error", "sum_error"), SUBJECT, "left")
 
     is_object = F.col("subject_type") == OBJECT
-    wanted = {p: F.col(f"wants.{p}") for p in PROPERTIES}
-    times = F.flatten(entries("timestamp", children["timestamp"][1]))
-    replica_errors = F.filter(F.transform("replicate_entries", lambda e: e["error"]),
-                              lambda e: e.isNotNull())
-    sum_error = F.when(
-        wanted["checksum"] & is_object,
-        F.when(F.col("has_sum"), F.col("sum_error")).otherwise(
-            single_value_error(F.lit(0), "checksum values")))
-    return found.select(
-        *items.columns, "page",
-        F.when(wanted["acl"], entries("acl", children["acl"][1])).alias("access"),
-        F.when(wanted["avu"], entries("avu", children["avu"][1])).alias("avus"),
-        F.when(wanted["checksum"] & is_object, _checksum_json(F.col("checksum")))
-        .alias("checksum"),
-        F.when(wanted["replicate"] & is_object, entries("replicate", _replicate))
-        .alias("replicates"),
-        F.when(wanted["timestamp"],
-               F.when(F.col("subject_type") == COLLECTION, F.slice(times, 1, 0))
-               .otherwise(times)).alias("timestamps"),
-        F.coalesce(sum_error, F.try_element_at(replica_errors, F.lit(1))).alias("item_error"),
-    )
+
+    def entries(name: str) -> Column:
+        return F.transform(F.coalesce(f"{name}_entries", F.array()), shapes[name][1])
+
+    def listed(name: str, when: Column | None = None) -> Column:
+        wanted = F.col(f"wants.{name}")
+        return F.when(wanted if when is None else wanted & when, entries(name))
+
+    columns = {name: F.lit(None).cast(kind) for name, kind in EMPTY.items()}
+    failed = []
+    if "acl" in planned:
+        columns["access"] = listed("acl")
+    if "avu" in planned:
+        columns["avus"] = listed("avu")
+    if "checksum" in planned:
+        wanted = F.col("wants.checksum") & is_object
+        columns["checksum"] = F.when(wanted, _checksum_json(F.col("checksum")))
+        failed.append(F.when(wanted, F.when(F.col("has_sum"), F.col("sum_error")).otherwise(
+            single_value_error(F.lit(0), "checksum values"))))
+    if "replicate" in planned:
+        columns["replicates"] = F.when(F.col("wants.replicate") & is_object, F.transform(
+            F.coalesce("replicate_entries", F.array()), _replicate))
+        replica_errors = F.filter(F.transform("replicate_entries", lambda e: e["error"]),
+                                  lambda e: e.isNotNull())
+        failed.append(F.try_element_at(replica_errors, F.lit(1)))
+    if "timestamp" in planned:
+        times = F.flatten(entries("timestamp"))
+        columns["timestamps"] = F.when(F.col("wants.timestamp"), F.when(
+            F.col("subject_type") == COLLECTION, F.slice(times, 1, 0)).otherwise(times))
+    item_error = F.coalesce(*failed) if failed else F.lit(None).cast(errors.ERROR_TYPE)
+    return found.select(*items.columns, "page", *[c.alias(n) for n, c in columns.items()],
+                        item_error.alias("item_error"))
 
 
 def item_json(**extra: Column) -> Column:

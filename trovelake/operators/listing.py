@@ -11,7 +11,7 @@ from trovelake.operators.enrich import (
     PROPERTIES, SUBJECT, enriched, item_json, single_value, single_value_error,
 )
 from trovelake.plans.settle import settled
-from trovelake.plans.skew import PAGE_ROWS, broadcast_if_small, nested
+from trovelake.plans.skew import PAGE_ROWS, nested
 from trovelake.sources.catalogue import COLLECTION, OBJECT, Catalogue
 from trovelake.sources.requests import target_path
 
@@ -29,11 +29,11 @@ def resolved(catalogue: Catalogue, asked: DataFrame) -> DataFrame:
         "path", paths.dir_name(F.col("path")).alias("coll_path"),
         paths.base_name(F.col("path")).alias("data_name"))
     objects = catalogue.replicas.select("data_id", "coll_path", "data_name").join(
-        broadcast_if_small(names), ["coll_path", "data_name"]).select(
+        names, ["coll_path", "data_name"]).select(
         "path", F.lit(OBJECT).alias("subject_type"), F.col("data_id").alias("subject_id"),
         "coll_path", "data_name").distinct()
     collections = catalogue.collections.select("coll_id", "coll_path").join(
-        broadcast_if_small(names.select("path")), F.col("coll_path") == F.col("path")).select(
+        names.select("path"), F.col("coll_path") == F.col("path")).select(
         "path", F.lit(COLLECTION).alias("subject_type"), F.col("coll_id").alias("subject_id"),
         "coll_path", F.lit(None).cast("string").alias("data_name"))
     return asked.join(objects.unionByName(collections), "path", "left")
@@ -71,10 +71,10 @@ def children(catalogue: Catalogue) -> DataFrame:
 def contents(catalogue: Catalogue, parents: DataFrame) -> DataFrame:
     """Children of the given ``parent_path`` rows, one level deep."""
     replicas = catalogue.replicas.join(
-        broadcast_if_small(parents.select(F.col("parent_path").alias("coll_path")).distinct()),
+        parents.select(F.col("parent_path").alias("coll_path")).distinct(),
         "coll_path", "left_semi")
     return children(catalogue.with_tables(replicas=replicas)).join(
-        broadcast_if_small(parents), "parent_path")
+        parents, "parent_path")
 
 
 def in_listing_order(rows: DataFrame) -> DataFrame:
@@ -108,8 +108,8 @@ def list_items(catalogue: Catalogue, found: DataFrame, page_rows: int = PAGE_ROW
         arguments["size"].alias("sized"))
     sizes = single_value(
         catalogue.replicas.join(
-            broadcast_if_small(own.where(F.col("subject_type") == OBJECT).select(
-                F.col("subject_id").alias("data_id")).distinct()), "data_id", "left_semi"),
+            own.where(F.col("subject_type") == OBJECT).select(
+                F.col("subject_id").alias("data_id")).distinct(), "data_id", "left_semi"),
         "size").select(F.lit(OBJECT).alias("subject_type"),
                        F.col("data_id").alias("subject_id"), "n_values", "size")
     n_values = F.coalesce("n_values", F.lit(0))

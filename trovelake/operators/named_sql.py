@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trovelake.functions import documents as doc
-from trovelake.functions.errors import GENERAL, RequestError
-from trovelake.plans.skew import broadcast_if_small
+from trovelake.functions.errors import GENERAL, RequestError, error, first_error
 from trovelake.sources.catalogue import Catalogue
 
 # Aliases and labels. Named queries that come with every catalogue; '?' are string arguments.
@@ -81,22 +80,18 @@ def sql_of(catalogue: Catalogue, text: str, free: bool = False) -> str:
     rows = catalogue.named_queries.where(F.col("alias") == text).select("sqlStr").take(2)
     if len(rows) != 1:
         raise RequestError(
-            f"Expected 1 query for alias '{text}' but found "
-            f"{'none' if not rows else 'several'}", GENERAL)
+            f"'{text}' stands for {'several statements' if rows else 'no statement'}", GENERAL)
     return rows[0].sqlStr
 
 
 def checked_args(sql: str, args: list[str]) -> list[str]:
     """The arguments, if there is one for each '?' outside of quotes and those
     that are cast to whole numbers are such."""
-    places = re.sub(r"'[^']*'", lambda m: " " * len(m.group()), sql)
-    marks = [m.start() for m in re.finditer(r"\?", places)]
+    marks = _marks(sql)
     if len(marks) != len(args):
         raise RequestError(f"the query takes {len(marks)} arguments, not {len(args)}", GENERAL)
     for number, (at, arg) in enumerate(zip(marks, args), 1):
-        whole = re.search(r"CAST\(\s*$", places[:at], re.IGNORECASE) and re.match(
-            r"\?\s+AS\s+(BIGINT|INT)", places[at:], re.IGNORECASE)
-        if whole and not re.fullmatch(r"\s*[+-]?[0-9]{1,12}\s*", arg):
+        if _takes_number(sql, at) and not re.fullmatch(r"\s*[+-]?[0-9]{1,12}\s*", arg):
             raise RequestError(f"argument {number} is no whole number", GENERAL)
     return args
 
@@ -112,6 +107,78 @@ def run(catalogue: Catalogue, text: str, args: list[str] | None = None,
     return catalogue.spark.sql(sql, args=checked_args(sql, list(args or [])))
 
 
+# -- many requests at once ----------------------------------------------------------
+
+ARGUMENTS = "given_arguments"
+
+
+def statements(catalogue: Catalogue) -> DataFrame:
+    """(text, statement, n): what a request may name, an alias or a registered
+    statement itself, with the number of statements it stands for."""
+    own = catalogue.named_queries.where(~F.col("alias").isin(*BUILT_IN)).select(
+        "alias", "sqlStr")
+    known = catalogue.spark.createDataFrame(
+        list(BUILT_IN.items()), "alias string, sqlStr string").unionByName(own)
+    texts = known.select("sqlStr").unionByName(catalogue.named_queries.select("sqlStr"))
+    by_text = texts.select(F.col("sqlStr").alias("text"), F.col("sqlStr").alias("statement"))
+    by_alias = known.select(F.col("alias").alias("text"), F.col("sqlStr").alias("statement"))
+    return by_text.distinct().unionByName(by_alias).groupBy("text").agg(
+        F.max("statement").alias("statement"), F.count(F.lit(1)).alias("n"))
+
+
+def _marks(sql: str) -> list[int]:
+    """Places of the '?' outside of quotes."""
+    places = re.sub(r"'[^']*'", lambda m: " " * len(m.group()), sql)
+    return [m.start() for m in re.finditer(r"\?", places)]
+
+
+def _takes_number(sql: str, at: int) -> bool:
+    """Is the argument at this place cast to a whole number?"""
+    return bool(re.search(r"CAST\(\s*$", sql[:at], re.IGNORECASE) and re.match(
+        r"\?\s+AS\s+(BIGINT|INT)", sql[at:], re.IGNORECASE))
+
+
+def resolved(catalogue: Catalogue, asked: DataFrame) -> DataFrame:
+    """Requests (text, args, error) with ``statement``, or the error of those
+    whose statement is not known, or not given its arguments."""
+    known = statements(catalogue)
+    # the registered statements, not the requests
+    texts = [r.statement for r in known.where("n = 1").select("statement").distinct().collect()]
+    takes = F.create_map(*[F.lit(x) for t in texts for x in (t, len(_marks(t)))])
+    numbers = F.create_map(*[x for t in texts for x in (F.lit(t), F.array(
+        *[F.lit(_takes_number(t, at)) for at in _marks(t)]).cast("array<boolean>"))])
+    rows = asked.join(known, "text", "left")
+    wanted = F.try_element_at(takes, F.col("statement"))
+    is_number = F.try_element_at(numbers, F.col("statement"))
+    bad = F.exists(F.arrays_zip(is_number.alias("number"), F.col("args").alias("arg")), lambda z: (
+        z["number"] & ~F.rlike(z["arg"], F.lit(r"^\s*[+-]?[0-9]{1,12}\s*$"))))
+    selects = F.startswith(F.lower(F.ltrim("text")), F.lit("select"))
+    return rows.withColumn("error", F.coalesce("error", first_error(
+        (F.col("n").isNull() & selects, error("this statement is not registered", GENERAL)),
+        (F.col("n").isNull(), error(F.format_string(
+            "nothing is registered under '%s'", "text"), GENERAL)),
+        (F.col("n") > 1, error(F.format_string(
+            "'%s' stands for several statements", "text"), GENERAL)),
+        (wanted != F.size("args"), error(F.format_string(
+            "the query takes %d arguments, not %d", wanted, F.size("args")), GENERAL)),
+        (bad, error("an argument is no whole number", GENERAL))))).drop("n")
+
+
+def answered(catalogue: Catalogue, statement: str, arguments: DataFrame) -> DataFrame:
+    """Rows of a statement for each list of arguments, with the list in the column
+    ``ARGUMENTS``: the statement is a lateral query, its '?' columns of a table."""
+    register_views(catalogue)
+    parts, start = [], 0
+    for number, at in enumerate(_marks(statement)):
+        parts += [statement[start:at], f"asked_arguments.{ARGUMENTS}[{number}]"]
+        start = at + 1
+    query = "".join([*parts, statement[start:]])
+    arguments.select(F.col("args").alias(ARGUMENTS)).createOrReplaceTempView("asked_arguments")
+    return catalogue.spark.sql(
+        f"SELECT asked_arguments.{ARGUMENTS}, answers.* "
+        f"FROM asked_arguments, LATERAL ({query}) AS answers")
+
+
 # -- named changes of one replica -----------------------------------------------------
 
 def _set_on_replicas(replicas: DataFrame, named: DataFrame, column: str,
@@ -119,7 +186,7 @@ def _set_on_replicas(replicas: DataFrame, named: DataFrame, column: str,
     """Set one column of the replicas named by (coll_path, data_name, repl_num)."""
     keys = ["coll_path", "data_name", "repl_num"]
     hit = named.select(*keys).distinct().withColumn("hit", F.lit(True))
-    rows = replicas.join(broadcast_if_small(hit), keys, "left")
+    rows = replicas.join(hit, keys, "left")
     return rows.withColumn(column, F.when(F.col("hit"), value).otherwise(
         F.col(column))).select(*replicas.columns)
 

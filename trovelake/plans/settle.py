@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.session import shared_folder
 
+# Folders written within each scope that is open, innermost last.
+_scopes: list[list[str]] = []
+
 
 def settled(df: DataFrame) -> DataFrame:
     """Write a table once and read it back.
@@ -19,10 +24,30 @@ def settled(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of any file system that the cluster knows."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def settling(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside when it ends, for work whose results have
+    been written elsewhere by then, like a micro-batch."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        delete_folders(spark, _scopes.pop())
+
+
 def once(rows: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns so that each is computed once per row.
 

@@ -9,25 +9,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trovelake.plans.settle import settled
+from trovelake.session import BROADCAST_BYTES
 
 # A group above this many rows is split over tasks.
 HOT_ROWS = 1_000_000
 # Entries of one nested array; a larger group continues on further pages.
 PAGE_ROWS = 10_000
-# A side is broadcast only when the optimizer's size estimate is below this.
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size estimate of the optimized plan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check; above the limit the join shuffles,
-    with skewed partitions split at run time."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def is_small(stored: DataFrame) -> bool:
+    """Whether a stored table is below the session's limit for broadcasts."""
+    stats = stored._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) <= BROADCAST_BYTES
 
 
 def hot_groups(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
@@ -99,19 +92,36 @@ def page_counts(rows: DataFrame, key: list[str], page_rows: int = PAGE_ROWS) ->
         *key, F.ceil(F.col("group_rows") / page_rows).cast("int").alias("pages"))
 
 
-def nested(rows: DataFrame, key: list[str], name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Collect the ``entry`` column per group into sorted arrays of bounded size.
+def paged(rows: DataFrame, key: list[str],
+          page_rows: int = PAGE_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of (key, entry) with the ``page`` they are on, and (key, pages) of the
+    groups with several pages, None where there is no such group.
 
-    Gives (key, page, name). A group within ``page_rows`` is one array on page
-    0. A larger one is spread over as many pages as it needs, by a hash of the
-    entry, so no task ever holds a hot group and no entry is dropped.
+    Page n holds the entries at positions n * page_rows and on of the group's
+    sorted entries, so pages put end to end are the sorted group, however large.
     """
-    pages = page_counts(rows, key, page_rows)
-    page = F.coalesce(F.pmod(F.xxhash64("entry"), F.col("pages")), F.lit(0)).cast("int")
-    return (
-        rows.join(pages, key, "left").withColumn("page", page)
-        .groupBy(*key, "page").agg(F.sort_array(F.collect_list("entry")).alias(name))
-    )
+    rows = settled(rows.select(*key, "entry"))
+    hot = settled(page_counts(rows, key, page_rows))
+    if hot.isEmpty():
+        return rows.withColumn("page", F.lit(0)), None
+    large = rows.join(hot, key, "left_semi").withColumn("tie", F.monotonically_increasing_id())
+    placed = positioned(large, [*map(F.col, key), F.col("entry"), F.col("tie")], "position")
+    first = placed.groupBy(*key).agg(F.min("position").alias("first"))
+    page = F.floor((F.col("position") - F.col("first")) / page_rows).cast("int")
+    large = placed.join(first, key).withColumn("page", page)
+    normal = rows.join(hot, key, "left_anti").withColumn("page", F.lit(0))
+    return normal.unionByName(large.select(*normal.columns)), hot
+
+
+def gathered(pages: DataFrame, key: list[str], name: str) -> DataFrame:
+    """(key, page, name) with the sorted entries of each page."""
+    return pages.groupBy(*key, "page").agg(F.sort_array(F.collect_list("entry")).alias(name))
+
+
+def nested(rows: DataFrame, key: list[str], name: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Collect the ``entry`` column per group into sorted arrays of bounded size:
+    (key, page, name). No task holds a hot group and no entry is dropped."""
+    return gathered(paged(rows, key, page_rows)[0], key, name)
 
 
 def lagged(rows: DataFrame, key: list[str], order: str, tie: str, value: str, name: str,
@@ -137,3 +147,27 @@ def lagged(rows: DataFrame, key: list[str], order: str, tie: str, value: str, na
     return joined.withColumn(
         name, F.when(F.col("inside").isNotNull(), F.col("inside.v")).otherwise(F.col("before"))
     ).drop("span", "inside", "before")
+
+
+def running(rows: DataFrame, key: list[str], order: str, value: str, name: str, fold,
+            span: int = HOT_ROWS) -> DataFrame:
+    """Add ``fold`` (``F.max`` or ``F.sum``) of the values of the rows before, in
+    order within the key; null on its first row.
+
+    ``order`` is a whole number that is dense over the table and unique within a
+    key. Each key is windowed per span of it, so a key with very many rows is spread
+    over tasks. Keys are not null.
+    """
+    rows = rows.withColumn("span", F.floor(F.col(order) / span))
+    earlier = (W.unboundedPreceding, -1)
+    inside = rows.withColumn("inside", fold(value).over(
+        W.partitionBy(*key, "span").orderBy(order).rowsBetween(*earlier)))
+    totals = rows.groupBy(*key, "span").agg(fold(value).alias("total"))
+    before = totals.withColumn("before", fold("total").over(
+        W.partitionBy(*key).orderBy("span").rowsBetween(*earlier))).drop("total")
+    parts = [F.col("inside"), F.col("before")]
+    # one of the two may be null
+    both = F.greatest(*parts) if fold is F.max else F.coalesce(
+        parts[0] + parts[1], *parts)
+    return inside.join(before, [*key, "span"]).withColumn(name, both).drop(
+        *{"span", "inside", "before"} - {name})

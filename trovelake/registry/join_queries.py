@@ -44,9 +44,28 @@ def acl_semi_join(spark, sf):
                   collections=False).select("collection", "data_object")
 
 
-@query("join04_avus", f"""
-SELECT coll_path AS collection, data_name AS data_object, attribute, value, units
-FROM objects JOIN avus ON data_id = subject_id AND subject_type = 'D' WHERE {BRAND_OBJECTS}""")
+# Straight from the given tables: the views would be computed several times.
+@query("join04_avus", """
+WITH hit AS (
+  SELECT o_orderkey, o_orderpriority, o_orderstatus,
+    '/tpch/' || r_name || '/' || n_name || '/' || c_name AS collection,
+    'order_' || CAST(o_orderkey AS VARCHAR) AS data_object
+  FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+  JOIN region ON r_regionkey = n_regionkey
+  WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem JOIN part ON p_partkey = l_partkey
+                       WHERE p_brand = 'Brand#13')),
+parts AS (
+  SELECT l_orderkey, p_brand, p_type, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity
+  FROM lineitem JOIN part ON p_partkey = l_partkey
+  WHERE l_orderkey IN (SELECT o_orderkey FROM hit)),
+named AS (
+  SELECT o_orderkey AS k, 'priority' AS attribute, o_orderpriority AS value,
+    CAST(NULL AS VARCHAR) AS units FROM hit
+  UNION ALL SELECT o_orderkey, 'status', o_orderstatus, NULL FROM hit
+  UNION ALL SELECT DISTINCT l_orderkey, 'brand', p_brand, NULL FROM parts
+  UNION ALL SELECT DISTINCT l_orderkey, 'type', p_type, NULL FROM parts
+  UNION ALL SELECT DISTINCT l_orderkey, 'quantity', quantity, 'pcs' FROM parts)
+SELECT collection, data_object, attribute, value, units FROM hit JOIN named ON k = o_orderkey""")
 def with_avus(spark, sf):
     c = star_catalogue(spark, sf)
     return enrich.with_rows(_found(c), enrich.avu_rows(c)).select(

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from trovelake.functions.errors import no_error
 from trovelake.operators import named_sql
+from trovelake.plans.dispatch import specific
 from trovelake.registry.book import query
-from trovelake.sources.tables import star_catalogue
+from trovelake.registry.request_sets import lines
+from trovelake.sources.requests import requests
+from trovelake.sources.tables import Tables, star_catalogue
 
 # 1998-01-01 and 1999-01-01 as epoch seconds.
 SPAN = ["883612800", "915148800"]
@@ -140,3 +144,61 @@ def show_collection_acls(spark, sf):
     c = star_catalogue(spark, sf)
     last = c.collections.agg(F.max("coll_path")).first()[0]
     return named_sql.run(c, "showCollAcls", [last])
+
+
+def _aliases(spark, sf):
+    """A catalogue with a named query per brand, the first of them twice, and
+    requests for each brand's."""
+    c = star_catalogue(spark, sf)
+    brands = Tables(spark, sf).part.select("p_brand").distinct()
+    sql = F.concat(F.lit("SELECT DISTINCT subject_id FROM avus WHERE value = '"), "p_brand",
+                   F.lit("'"))
+    named = brands.select(F.col("p_brand").alias("alias"), sql.alias("sqlStr"))
+    twice = named.where("alias = 'Brand#11'").withColumn("sqlStr", F.concat("sqlStr", F.lit(" ")))
+    return c.with_tables(named_queries=named.unionByName(twice)), brands
+
+
+@query("sql01_alias_lookup", """
+SELECT text, CASE WHEN text = 'Brand#11' THEN NULL ELSE statement END AS statement,
+  CASE WHEN text = 'Brand#11' OR text LIKE '%#9%' THEN -1 END AS code FROM (
+  SELECT DISTINCT p_brand AS text, 'SELECT DISTINCT subject_id FROM avu' ||
+    's WHERE value = ''' || p_brand || '''' AS statement FROM part
+  UNION ALL SELECT DISTINCT replace(p_brand, '#', '#9'), NULL FROM part)""")
+def alias_lookup(spark, sf):
+    """Each alias with its one statement; unknown and doubled ones are errors."""
+    c, brands = _aliases(spark, sf)
+    texts = brands.select(F.col("p_brand").alias("text")).unionByName(
+        brands.select(F.regexp_replace("p_brand", "#", "#9").alias("text")))
+    asked = texts.select("text", F.array().cast("array<string>").alias("args"),
+                         no_error().alias("error"))
+    found = named_sql.resolved(c, asked)
+    return found.select("text", F.when(F.col("error").isNull(), F.col("statement"))
+                        .alias("statement"), F.col("error.code").alias("code"))
+
+
+@query("sql11_find_query_by_alias", """
+SELECT DISTINCT p_brand AS alias, 'SELECT DISTINCT subject_id FROM avu' ||
+  's WHERE value = ''' || p_brand || '''' AS sql_text FROM part WHERE p_brand <> 'Brand#11'""")
+def find_query_by_alias(spark, sf):
+    """The built-in query over aliases, for all brands in one query."""
+    c, brands = _aliases(spark, sf)
+    arguments = brands.where("p_brand <> 'Brand#11'").select(F.array("p_brand").alias("args"))
+    return named_sql.answered(c, named_sql.BUILT_IN["findQueryByAlias"], arguments).select(
+        "alias", F.col("sqlStr").alias("sql_text"))
+
+
+@query("act22_batched_named_queries", """
+SELECT custkey AS request_id, count(*) AS n, min(owner) AS owner FROM (
+  SELECT c_custkey AS custkey, c_name AS owner FROM customer) GROUP BY custkey""")
+def batched_named_queries(spark, sf):
+    """A request per customer collection for its permissions: one query."""
+    c = star_catalogue(spark, sf)
+    homes = c.collections.where("coll_id >= 4000000000").withColumn(
+        "key", F.col("coll_id") - 4000000000)
+    document = F.struct(F.lit("specific").alias("operation"), F.struct(F.struct(
+        F.lit("showCollAcls").alias("sql"), F.array("coll_path").alias("args"))
+        .alias("specific")).alias("target"))
+    answers = specific(c, requests(lines(homes, F.col("key"), document)))
+    found = F.from_json("multiple", "array<struct<owner: string, zone: string, level: string>>")
+    return answers.select("request_id", F.explode(found).alias("e")).groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("e.owner").alias("owner"))

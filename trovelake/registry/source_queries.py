@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trovelake.functions import documents as doc
 from trovelake.registry.book import query
-from trovelake.registry.request_sets import lines, object_requests
-from trovelake.sources.requests import echoed, parse_lines, rejected, requests
+from trovelake.registry.request_sets import bare_requests, lines, object_requests
+from trovelake.session import shared_folder, tune
+from trovelake.sources import snapshots
+from trovelake.sources.changes import DROP, KEYS, PUT, change
+from trovelake.sources.requests import (
+    concatenated, echoed, parse_lines, parts_present, rejected, requests,
+)
 from trovelake.sources.tables import Tables, star_catalogue
 
 
@@ -179,3 +186,66 @@ def absolute_path(spark, sf):
     typed = requests(lines(Tables(spark, sf).pages, F.col("page_id"),
                            F.struct(path.alias("collection"))), "list")
     return typed.select("request_id", F.col("error.code").alias("code"))
+
+
+@query("src02_concatenated", """
+SELECT o_orderkey, '/a}{"' || o_orderstatus AS collection, 'order_' || o_orderkey AS data_object
+FROM orders""")
+def concatenated_documents(spark, sf):
+    """Documents over three lines, and several on a line, with brackets and quotes
+    in their texts."""
+    tune(spark)
+    quoted = F.to_json(F.struct(
+        F.concat(F.lit('/a}{"'), "o_orderstatus").alias("collection"),
+        F.concat(F.lit("order_"), F.col("o_orderkey").cast("string")).alias("data_object")))
+    spread = F.concat(F.lit('{"operation": "list",\n  "target": '), quoted, F.lit("\n} "))
+    single = F.concat(F.lit('{"operation":"list","target":'), quoted, F.lit("}"))
+    rows = Tables(spark, sf).orders.select(F.when(
+        F.col("o_orderkey") % 2 == 0, spread).otherwise(single).alias("text"),
+        F.floor(F.col("o_orderkey") / 5).alias("line"))
+    folder = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}"
+    rows.groupBy("line").agg(F.array_join(F.collect_list("text"), "").alias("value")).select(
+        "value").write.text(folder)
+    asked = requests(concatenated(spark, folder))
+    return asked.select(
+        F.regexp_extract("target.data_object", "[0-9]+", 0).cast("bigint").alias("o_orderkey"),
+        "target.collection", "target.data_object")
+
+
+@query("fn28_presence", """
+SELECT o_orderkey AS request_id, o_orderstatus <> 'P' AS has_collection,
+  o_orderstatus = 'F' AS has_acl, o_orderstatus = 'O' AS has_timestamps,
+  o_orderstatus = 'O' AND o_orderkey % 2 = 0 AS has_created,
+  o_orderstatus = 'O' AND o_orderkey % 2 = 1 AS has_modified FROM orders""")
+def presence(spark, sf):
+    """Which parts a target has; a JSON null is no part."""
+    status, even = F.col("o_orderstatus"), F.col("o_orderkey") % 2 == 0
+    at = F.lit("2020-01-01T00:00:00Z")
+    span = F.struct(F.when(even, at).alias("c"), F.when(~even, at).alias("m"),
+                    F.lit("n>").alias("o"))
+    entry = F.struct(F.lit("public").alias("owner"), F.lit("read").alias("level"))
+    document = F.struct(
+        F.when(status != "P", "/a").alias("coll"), F.array().cast("array<string>").alias("avus"),
+        F.when(status == "F", F.array(entry)).alias("access"),
+        F.when(status == "O", F.array(span)).alias("time"))
+    asked = bare_requests(Tables(spark, sf).orders, F.col("o_orderkey"), document, "metaquery")
+    return asked.select("request_id", *[c.alias(n) for n, c in parts_present().items()])
+
+
+@query("snk05_changes_on_disk", """
+SELECT subject_type, subject_id, attribute, value FROM avus WHERE attribute <> 'priority'
+UNION ALL SELECT DISTINCT 'D', o_orderkey, 'seen', 'yes' FROM orders
+JOIN lineitem ON l_orderkey = o_orderkey""")
+def changes_on_disk(spark, sf):
+    """Metadata after a stored catalogue got change files and was compacted."""
+    c = star_catalogue(spark, sf)
+    folder = f"{shared_folder(spark)}/catalogue-{uuid.uuid4().hex}"
+    snapshots.publish(c, folder)
+    objects = c.avus.where("attribute = 'priority'")
+    gone = change(objects.select(*KEYS["avus"]), DROP)
+    seen = change(objects.withColumns({"attribute": F.lit("seen"), "value": F.lit("yes")}), PUT)
+    snapshots.append(snapshots.current(spark, folder).changed(avus=gone), folder)
+    snapshots.append(snapshots.current(spark, folder).changed(avus=seen), folder)
+    snapshots.compact(spark, folder, "avus")
+    return snapshots.current(spark, folder).avus.select(
+        "subject_type", "subject_id", "attribute", "value")

@@ -6,6 +6,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# A side is broadcast when its estimated or measured size is at most this; beyond
+# it joins shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
 # forceOptimizeSkewedJoin: a skewed sort-merge join is split even where that
 # costs one more shuffle, because one key may hold a third of all rows.
 RUNTIME_SETTINGS = {
@@ -14,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
 }
 
 

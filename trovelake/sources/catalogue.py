@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.functions import levels, paths
+from trovelake.plans.settle import settled
+from trovelake.sources.changes import folded, in_steps, merged
 
 OBJECT, COLLECTION = "D", "C"
 
@@ -30,7 +32,14 @@ SCHEMAS = {
 
 @dataclass(frozen=True)
 class Catalogue:
-    """Catalogue tables; a change gives a new Catalogue with new tables."""
+    """Catalogue tables; a change gives a new Catalogue.
+
+    ``log`` holds all changes since the tables in ``base`` were read, one row per
+    key; a table is its base with the log merged in, so neither plans nor stored
+    changes grow with the number of changes of a key. ``replaced`` names tables
+    that were exchanged as a whole. ``in_buckets`` holds tables that are stored in
+    buckets of their subject, for joins on it.
+    """
 
     collections: DataFrame
     replicas: DataFrame
@@ -39,6 +48,10 @@ class Catalogue:
     resources: DataFrame
     contents: DataFrame
     named_queries: DataFrame
+    base: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    log: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    replaced: frozenset[str] = frozenset()
+    in_buckets: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     @classmethod
     def of(cls, spark: SparkSession, **tables: DataFrame) -> Catalogue:
@@ -50,7 +63,35 @@ class Catalogue:
         return cls(**tables, **empty)
 
     def with_tables(self, **tables: DataFrame) -> Catalogue:
-        return replace(self, **tables)
+        """Other tables in place of those given, which lose their log."""
+        return replace(
+            self, **tables, replaced=self.replaced | set(tables),
+            base={n: t for n, t in self.base.items() if n not in tables},
+            log={n: c for n, c in self.log.items() if n not in tables},
+            in_buckets={n: t for n, t in self.in_buckets.items() if n not in tables})
+
+    def changed(self, **changes: DataFrame) -> Catalogue:
+        """The catalogue after changes (see ``sources.changes``) that hold each
+        key once. They are stored, so each is computed once."""
+        base, log, tables = dict(self.base), dict(self.log), {}
+        in_buckets = dict(self.in_buckets)
+        for name, rows in changes.items():
+            base.setdefault(name, getattr(self, name))
+            rows = rows.select(*[
+                F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)
+                .alias(f.name) for f in getattr(self, name).schema], "op")
+            if name in log:
+                rows = folded(name, in_steps(log[name], settled(rows)))
+            log[name] = settled(rows)
+            tables[name] = merged(name, base[name], log[name])
+            if name in in_buckets:
+                base.setdefault(f"{name} in buckets", in_buckets[name])
+                in_buckets[name] = merged(name, base[f"{name} in buckets"], log[name])
+        return replace(self, **tables, base=base, log=log, in_buckets=in_buckets)
+
+    def of_subjects(self, name: str) -> DataFrame:
+        """A table for a join on its subject."""
+        return self.in_buckets.get(name, getattr(self, name))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in SCHEMAS}

@@ -12,6 +12,7 @@ from trovelake.functions import errors, levels, paths, times
 from trovelake.functions.errors import error, first_error
 from trovelake.operators.predicates import INVALID_OPERATOR, operator_of
 from trovelake.plans.settle import once
+from trovelake.plans.skew import positioned, running
 
 # Property names of documents, long form first.
 KEYS = {
@@ -146,9 +147,9 @@ def _target(document: Column) -> Column:
 
 # -- reading -------------------------------------------------------------------
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(request_id, line) of text files with a request per line; ids ascend with
-    the file's name and the line, whatever splits Spark reads.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(request_id, line, file) of the lines of text files; ids ascend with the
+    file's name and the line, whatever splits Spark reads.
 
     Splits are numbered through one row each; lines keep their order within.
     """
@@ -159,7 +160,64 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = rows.select("file", "start").distinct().withColumn(
         "split", F.row_number().over(W.orderBy("file", "start")) - 1)
     return rows.where(F.trim("line") != "").join(splits, ["file", "start"]).select(
-        (F.col("split").cast("bigint") * (1 << 33) + F.col("place")).alias("request_id"), "line")
+        (F.col("split").cast("bigint") * (1 << 33) + F.col("place")).alias("request_id"), "line",
+        "file")
+
+
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(request_id, line) of text files with a request per line, in order."""
+    return numbered_lines(spark, path).drop("file")
+
+
+# A piece of a line up to the end of the next bracket that closes; texts in quotes
+# are skipped, and possessive so that long ones need no stack.
+_QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"?+'
+_PIECE = r'((?:[^"}\]]++|' + _QUOTED + r')*+[}\]]?+)'
+
+
+def concatenated(spark: SparkSession, path: str) -> DataFrame:
+    """(request_id, line) of text files with JSON documents one after the other,
+    over several lines or several on one line; ids ascend in reading order.
+
+    Lines are cut into pieces that end where a bracket closes, outside of quotes
+    (which cannot contain line ends). Depths are running sums over the pieces of
+    a file, whatever splits Spark reads; a closing bracket too many is text of its
+    own and does not shift what follows. Text between documents becomes a line of
+    its own, so that it is rejected like any other; an open document ends with its
+    file.
+    """
+    lines = numbered_lines(spark, path)
+    cut = lines.select("file", "request_id", F.posexplode(F.filter(
+        F.regexp_extract_all("line", F.lit(_PIECE)), lambda p: p != "")).alias("pos", "piece"))
+    bare = F.regexp_replace("piece", _QUOTED, '""')
+    opens = F.length(bare) - F.length(F.translate(bare, "{[", ""))
+    closes = F.when(bare.rlike(r"[}\]]$"), 1).otherwise(0)
+    pieces = positioned(cut.select(
+        "file", "pos", "piece", "request_id", (opens - closes).cast("bigint").alias("step"),
+        (closes == 1).alias("closes"), (F.trim(bare) != "").alias("filled")),
+        [F.col("request_id"), F.col("pos")], "place")
+    deep = running(pieces, ["file"], "place", "step", "sum", F.sum).withColumn(
+        "sum", F.coalesce("sum", F.lit(0)) + F.col("step")).withColumn("fall", -F.col("sum"))
+    floored = running(deep, ["file"], "place", "fall", "fell", F.max).withColumn(
+        "depth", F.col("sum") + F.greatest(F.lit(0), "fall", "fell"))
+    ended = floored.withColumn("ends", F.when(
+        (F.col("depth") == 0) & (F.col("closes") | F.col("filled")), 1).otherwise(0)
+        .cast("bigint"))
+    numbered = running(ended, ["file"], "place", "ends", "document", F.sum).withColumn(
+        "document", F.coalesce("document", F.lit(0)))
+    text = F.concat(F.when(F.col("pos") == 0, "\n").otherwise(""), "piece")
+    whole = numbered.groupBy("file", "document").agg(
+        F.min("place").alias("place"),
+        F.array_sort(F.collect_list(F.struct("place", text.alias("text")))).alias("parts"))
+    joined = whole.select("place", F.trim(F.regexp_replace(F.array_join(
+        F.transform("parts", lambda p: p["text"]), ""), r"^\s+", "")).alias("whole"))
+    # text before the first bracket is no part of the document
+    before = F.regexp_extract("whole", r"^[^{\[]*+", 0)
+    return joined.select("place", "whole", before.alias("before")).select(
+        "place", F.posexplode(F.when(F.trim("before") == "", F.array("whole")).otherwise(F.array(
+            F.trim("before"), F.expr("substr(whole, length(before) + 1)")))).alias("pos", "line")
+    ).where(F.trim("line") != "").select(
+        (F.col("place") * 2 + F.col("pos")).alias("request_id"), "line")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -335,6 +393,19 @@ def target_path() -> Column:
     return paths.to_path(target["collection"], target["data_object"])
 
 
+def parts_present() -> dict[str, Column]:
+    """Which parts the target of a request has."""
+    target = F.col("target")
+    spans = F.coalesce(target["timestamps"], F.array())
+    return {
+        "has_collection": target["collection"].isNotNull(),
+        "has_acl": target["access"].isNotNull(),
+        "has_timestamps": target["timestamps"].isNotNull(),
+        "has_created": F.exists(spans, lambda t: F.coalesce(t["field"] == "created", F.lit(False))),
+        "has_modified": F.exists(spans, lambda t: F.coalesce(
+            t["field"] == "modified", F.lit(False)))}
+
+
 def run_totals(responses: DataFrame) -> DataFrame:
     """Items and errors of a run, one row; a response on several pages is one
     item."""
