@@ -160,15 +160,15 @@ def _aliases(spark, sf):
 
 @query("sql01_alias_lookup", """
 SELECT text, CASE WHEN text = 'Brand#11' THEN NULL ELSE statement END AS statement,
-  CASE WHEN text = 'Brand#11' OR text LIKE '%#9%' THEN -1 END AS code FROM (
+  CASE WHEN text = 'Brand#11' OR text LIKE '%#x%' THEN -1 END AS code FROM (
   SELECT DISTINCT p_brand AS text, 'SELECT DISTINCT subject_id FROM avu' ||
     's WHERE value = ''' || p_brand || '''' AS statement FROM part
-  UNION ALL SELECT DISTINCT replace(p_brand, '#', '#9'), NULL FROM part)""")
+  UNION ALL SELECT DISTINCT replace(p_brand, '#', '#x'), NULL FROM part)""")
 def alias_lookup(spark, sf):
     """Each alias with its one statement; unknown and doubled ones are errors."""
     c, brands = _aliases(spark, sf)
     texts = brands.select(F.col("p_brand").alias("text")).unionByName(
-        brands.select(F.regexp_replace("p_brand", "#", "#9").alias("text")))
+        brands.select(F.regexp_replace("p_brand", "#", "#x").alias("text")))
     asked = texts.select("text", F.array().cast("array<string>").alias("args"),
                          no_error().alias("error"))
     found = named_sql.resolved(c, asked)
