@@ -223,8 +223,12 @@ ITEM = "In spring Alice walked 12 km from the old harbour to Bergen and paid 30
     (ITEM, True),
     (ITEM.replace("Alice", "Carol").replace("12", "47").replace("30", "9"), True),
     (ITEM.replace("km", "miles"), True),
-    (ITEM.replace("Bob and Alice", "Bob and Dora"), False),   # one name, two values
-    (ITEM.replace("Bob", "Alice"), False),                    # two names, one value
+    # what stands word for word beside an edit is a copy
+    (ITEM.replace("Bob and Alice", "Bob and Dora"), True),
+    (ITEM.replace("Bob", "Alice"), True),
+    # other values throughout that do not map one to one are another text
+    (ITEM.replace("Alice walked", "Dora walked").replace("12", "47").replace("30", "9")
+     .replace("Bergen", "Oslo"), False),
     ("we walked from the old harbour to the town and paid nothing at all", False),
 ])
 def test_reparameterised_questions(spark, passage, found):
@@ -237,6 +241,54 @@ def test_reparameterised_questions(spark, passage, found):
     assert [(r.doc_id, r.item_ids) for r in got] == ([(0, [1])] if found else [])
 
 
+def copied_by_hand(texts, items):
+    """(doc, item) that share a run of words and values, as long as the item or
+    eight words, whichever is shorter."""
+    def runs(text, width=None):
+        words, values = template_decontamination.canonical(text or "")
+        line = [w if v is None else v for w, v in zip(words, values)]
+        width = min(8, len(line)) if width is None else width
+        return width, {tuple(line[i:i + width]) for i in range(len(line) - width + 1)}
+
+    out = set()
+    for j, item in items.items():
+        width, wanted = runs(item)
+        if width >= 3:
+            out |= {(i, j) for i, t in enumerate(texts) if runs(t, width)[1] & wanted}
+    return out
+
+
+def test_copies_are_found_whatever_they_are_made_of(spark):
+    rng = random.Random(21)
+    words = "7 12 3.5 km Ann Bob Oslo crates boxes of the and paid for red 40% May".split()
+    items = {k: " ".join(rng.choice(words) for _ in range(rng.randint(3, 30)))
+             for k in range(25)}
+    items |= {30: "What is 12 times 7?", 31: "7 12 40% 3.5 7 12 9 Ann Bob", 32: "2 3",
+              33: "In 36 boxes lay 7 crates of red apples and 7 crates of pears for Ann"}
+    texts = [prose(rng, 3) + "\n" + rng.choice(["", "so "]) + item + "\n" + prose(rng, 2)
+             for item in items.values()]
+    texts += [items[33].replace("7 crates of pears", "36 crates of pears"),
+              items[33].replace("Ann", "Bob"), None, "", prose(rng, 9), "What is 12 times 8?"]
+    rows = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = template_decontamination.contaminated(documents(spark, texts), rows).collect()
+    found = {(r.doc_id, j) for r in got for j in r.item_ids}
+    wanted = copied_by_hand(texts, items)
+    assert wanted <= found
+    planted = {(n, k) for n, k in enumerate(items) if k != 32}
+    assert planted <= wanted and {(29, 33), (30, 33)} <= wanted
+    # what is found besides are copies of the template with other values
+    assert all(j != 30 for _, j in found - wanted) and (34, 30) not in found
+
+
+def test_repeated_rows_null_ids_and_long_texts(spark):
+    rng = random.Random(22)
+    long = prose(rng, 3000) + ".\n" + ITEM
+    docs = documents(spark, [long, long, ITEM, ITEM], [1, 1, None, 2])
+    items = spark.createDataFrame([(1, ITEM), (1, ITEM), (None, long)], "item_id long, text string")
+    got = template_decontamination.contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_ids) for r in got) == [(1, [1]), (2, [1])]
+
+
 def test_short_items_and_empty_tables(spark):
     docs = documents(spark, ["zero one two three four five six seven", "one two three"])
     schema = "item_id long, text string"

@@ -14,12 +14,14 @@ every match through. What passes is joined by hash, so no side is broadcast
 unless Spark finds it under its own limit.
 
 * A null or empty text has no windows and is clean.
-* Items with fewer than ``WIDTH`` words have one window, the whole item. A match
-  of windows with fewer than ``LEAST_LITERALS`` words that are no placeholders
-  says nothing by itself; down to ``SLOT_LITERALS`` its placeholders are checked
-  with those of the other windows of the alignment.
+* Items with fewer than ``WIDTH`` words have one window, the whole item; items
+  below ``LEAST_WORDS`` words are no passages and not searched for. A match by
+  template of windows with fewer than ``LEAST_LITERALS`` words that are no
+  placeholders says nothing by itself; down to ``SLOT_LITERALS`` its placeholders
+  are checked with those of the other windows of the alignment.
 * Repeated items count once per item_id; repeated documents are judged by
-  doc_id, and all rows of a contaminated doc_id are.
+  doc_id, and all rows of a contaminated doc_id are. Rows without a doc_id are
+  not searched and reported clean; items without an item_id are not searched for.
 * Whole texts are searched. Extra columns are not read.
 """
 
@@ -34,11 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.llm.common import (
-    CellFilter, query, rows_out, table, window_hashes, word_hashes,
+    CellFilter, query, rows_out, table, window_hashes, word_hashes, worker_cache,
 )
 from trovelake.plans.settle import settled
 
 WIDTH = 8
+LEAST_WORDS = 3      # words of an item
 LEAST_LITERALS = 5   # words that are no placeholders, for a window to tell something
 SLOT_LITERALS = 3    # ... and to be looked at for its placeholders, beside such a window
 FILTER_CELLS = 1 << 22
@@ -58,72 +61,136 @@ EDGES = "\"'“”‘’«»()[]{}<>,;:!?…|*#&~_=+-–—"
 ENDS = (".", "!", "?", ":", "…")
 
 
+EMPTY, NUMERAL, UNIT_WORD, CAPITAL, PLAIN = range(5)
+
+
+def parsed(word: str) -> tuple:
+    """(kind, value, second, ends a sentence) of a word, wherever it stands."""
+    bare = word.strip(EDGES)
+    ends = bare.endswith(ENDS) or word.rstrip("\"'”’»)]}").endswith(ENDS)
+    bare = bare.rstrip(".…")
+    if not bare:
+        return EMPTY, word if word in UNITS else None, None, ends
+    number = NUMERIC.match(bare) if bare[-1:].isalnum() or bare[0].isdigit() else None
+    low = bare.lower()
+    if number and (not number.group(2) or number.group(2).lower() in UNITS):
+        return NUMERAL, number.group(1).rstrip(".,:/"), number.group(2).lower() or None, ends
+    capital = bare[0].isupper() and (len(bare) == 1 or bare[1:].islower())
+    if low in UNITS:
+        return UNIT_WORD, low, capital, ends
+    return CAPITAL if capital else PLAIN, low, None, ends
+
+
+class ParsedWords(dict):
+    """word -> its parts; emptied when it holds ``limit`` words."""
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) >= 200_000:
+            self.clear()
+        value = self[word] = parsed(word)
+        return value
+
+
+def known_words() -> ParsedWords:
+    cache = worker_cache("words")
+    if "parsed" not in cache:
+        cache["parsed"] = ParsedWords()
+    return cache["parsed"]
+
+
 def canonical(text: str) -> tuple[list[str], list[str | None]]:
     """Template words of a text, and the value behind each placeholder."""
     words: list[str] = []
     values: list[str | None] = []
+    parts = known_words()
     for line in text.split("\n"):
         fresh = True  # at the start of a sentence a capital letter tells nothing
         for word in line.split():
-            bare = word.strip(EDGES)
-            ends = bare.endswith(ENDS) or word.rstrip("\"'”’»)]}").endswith(ENDS)
-            bare = bare.rstrip(".…")
-            if not bare:
-                if word in UNITS and words and words[-1] == NUMBER:
+            kind, value, second, ends = parts[word]
+            if kind == PLAIN:
+                words.append(value)
+                values.append(None)
+            elif kind == EMPTY:
+                if value and words and words[-1] == NUMBER:
                     words.append(UNIT)
-                    values.append(word)
+                    values.append(value)
                 fresh = fresh or ends
                 continue
-            number = NUMERIC.match(bare) if bare[-1:].isalnum() or bare[0].isdigit() else None
-            low = bare.lower()
-            if number and (not number.group(2) or number.group(2).lower() in UNITS):
+            elif kind == NUMERAL:
                 words.append(NUMBER)
-                values.append(number.group(1).rstrip(".,:/"))
-                if number.group(2):
+                values.append(value)
+                if second:
                     words.append(UNIT)
-                    values.append(number.group(2).lower())
-            elif low in UNITS and words and words[-1] == NUMBER:
+                    values.append(second)
+            elif kind == UNIT_WORD and words and words[-1] == NUMBER:
                 words.append(UNIT)
-                values.append(low)
-            elif not fresh and bare[0].isupper() and (len(bare) == 1 or bare[1:].islower()):
+                values.append(value)
+            elif not fresh and (kind == CAPITAL or second):
                 words.append(NAME)
-                values.append(low)
+                values.append(value)
             else:
-                words.append(low)
+                words.append(value)
                 values.append(None)
             fresh = ends
     return words, values
 
 
-def windows_of(text: str | None, width: int = WIDTH) -> Iterator[tuple[int, np.uint64, list]]:
-    """(position, hash, values of the placeholders) of each window that counts."""
-    words, values = canonical(text or "")
-    if not words:
-        return
-    width = min(width, len(words))
-    keys = window_hashes(word_hashes().array([w.encode() for w in words]), width)
-    literal = np.cumsum([0] + [v is None for v in values])
-    counts = literal[width:] - literal[:-width]
-    for at in np.flatnonzero(counts >= SLOT_LITERALS):
-        yield int(at), keys[at], values[at:at + width]
+class Windows:
+    """Windows of a text by template, and by words and values."""
+
+    def __init__(self, text: str | None):
+        words, self.values = canonical(text or "")
+        self.length = len(words)
+        hashes = word_hashes()
+        self.template = hashes.array([w.encode() for w in words])
+        self.exact = self.template.copy()
+        slots = [i for i, v in enumerate(self.values) if v is not None]
+        if slots:
+            # the word itself, whether its place makes it a name or not
+            self.exact[slots] = hashes.array([self.values[i].encode() for i in slots])
+        self.literal = np.cumsum([0] + [v is None for v in self.values])
+
+    def keys(self, width: int, exact: bool) -> np.ndarray:
+        return window_hashes(self.exact if exact else self.template, width)
+
+    def literals(self, width: int) -> np.ndarray:
+        return self.literal[width:] - self.literal[:-width]
+
+    def rows(self, key, width: int, exact: bool, places: np.ndarray,
+             keys: np.ndarray) -> Iterator[tuple]:
+        literals = self.literals(width)
+        for at in places.tolist():
+            yield (key, at, int(keys[at].astype(np.int64)), int(literals[at]), exact,
+                   [] if exact else [v for v in self.values[at:at + width] if v is not None])
 
 
 WINDOWS = pa.schema([("id", pa.int64()), ("at", pa.int32()), ("key", pa.int64()),
-                     ("literals", pa.int32()), ("slots", pa.list_(pa.string()))])
-WINDOWS_DDL = "id long, at int, key long, literals int, slots array<string>"
+                     ("literals", pa.int32()), ("exact", pa.bool_()),
+                     ("slots", pa.list_(pa.string()))])
+WINDOWS_DDL = "id long, at int, key long, literals int, exact boolean, slots array<string>"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return rows_out(WINDOWS, dict(zip(WINDOWS.names, zip(*rows))) if rows
+                    else {n: [] for n in WINDOWS.names})
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(id, at, key, slots) of the windows of benchmark items."""
+    """(id, at, key, literals, exact, slots) of the windows of benchmark items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(key, at, hashed.astype(np.int64), sum(v is None for v in slots),
-                     [v for v in slots if v is not None])
-                    for key, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist())
-                    for at, hashed, slots in windows_of(text)]
-            yield rows_out(WINDOWS, dict(zip(WINDOWS.names, zip(*rows))) if rows
-                           else {n: [] for n in WINDOWS.names})
+            rows = []
+            for key, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
+                windows = Windows(text)
+                width = min(WIDTH, windows.length)
+                if width < LEAST_WORDS:
+                    continue
+                for exact in (False, True):
+                    keys = windows.keys(width, exact)
+                    places = np.flatnonzero(exact | (windows.literals(width) >= SLOT_LITERALS))
+                    rows += windows.rows(key, width, exact, places, keys)
+            yield _batch(rows)
 
     known = items.where("item_id is not null").select("item_id", "text").distinct()
     return known.mapInArrow(run, WINDOWS_DDL)
@@ -137,7 +204,7 @@ def short_widths(items: DataFrame, width: int = WIDTH) -> list[int]:
         for batch in batches:
             lengths = {len(canonical(t or "")[0]) for t in batch["text"].to_pylist()}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sorted(n for n in lengths if LEAST_LITERALS <= n < width), pa.int32())],
+                [pa.array(sorted(n for n in lengths if LEAST_WORDS <= n < width), pa.int32())],
                 names=["n"])
 
     found = items.select("text").mapInArrow(run, "n int").distinct().collect()
@@ -151,27 +218,19 @@ def candidate_windows(documents: DataFrame, wanted: DataFrame, widths: list[int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = passing.marks()
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in WINDOWS.names}
+            rows: list[tuple] = []
             for key, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                words, values = canonical(text or "")
-                if not words:
-                    continue
-                items = word_hashes().array([w.encode() for w in words])
-                literal = np.cumsum([0] + [v is None for v in values])
+                windows = Windows(text)
                 for width in widths:
-                    if width > len(words):
+                    if width > windows.length:
                         continue
-                    keys = window_hashes(items, width)
-                    enough = literal[width:] - literal[:-width] >= SLOT_LITERALS
-                    cells = (keys % np.uint64(FILTER_CELLS)).astype(np.int64)
-                    for at in np.flatnonzero(enough & marks[cells]):
-                        out["id"].append(key)
-                        out["at"].append(int(at))
-                        out["key"].append(int(keys[at].astype(np.int64)))
-                        out["literals"].append(int(literal[at + width] - literal[at]))
-                        out["slots"].append(
-                            [v for v in values[at:at + width] if v is not None])
-            yield rows_out(WINDOWS, out)
+                    for exact in (False, True):
+                        keys = windows.keys(width, exact)
+                        there = marks[(keys % np.uint64(FILTER_CELLS)).astype(np.int64)]
+                        if not exact:
+                            there &= windows.literals(width) >= SLOT_LITERALS
+                        rows += windows.rows(key, width, exact, np.flatnonzero(there), keys)
+            yield _batch(rows)
 
     known = documents.where("doc_id is not null").select("doc_id", "text")
     return known.mapInArrow(run, WINDOWS_DDL)
@@ -186,18 +245,20 @@ def matches(documents: DataFrame, items: DataFrame) -> DataFrame:
     there = candidate_windows(documents, wanted, widths)
     there = there.withColumnsRenamed({"id": "doc_id", "at": "doc_at", "slots": "doc_slots"})
     pairs = there.join(wanted.drop("literals").withColumnsRenamed(
-        {"id": "item_id", "at": "item_at", "slots": "item_slots"}), "key")
+        {"id": "item_id", "at": "item_at", "slots": "item_slots"}), ["key", "exact"])
+    says = F.col("exact") | (F.col("literals") >= LEAST_LITERALS)
     aligned = pairs.where(F.size("doc_slots") == F.size("item_slots")).select(
         "doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("offset"),
-        F.when(F.col("literals") >= LEAST_LITERALS, F.col("item_at")).alias("item_at"),
+        F.when(says, F.col("item_at")).alias("item_at"), "exact",
         F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))
         .alias("slots"))
     # an alignment has at most as many windows as the item has words
     runs = aligned.groupBy("doc_id", "item_id", "offset").agg(
-        F.countDistinct("item_at").alias("windows"),
+        F.countDistinct("item_at").alias("windows"), F.bool_or("exact").alias("copied"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     sides = [F.size(F.array_distinct(F.col(f"slots.{side}"))) for side in ("item", "doc")]
-    return runs.where((F.col("windows") > 0) & (sides[0] == F.size("slots")) & (sides[1] == F.size("slots"))).select(
+    agree = (sides[0] == F.size("slots")) & (sides[1] == F.size("slots"))
+    return runs.where((F.col("windows") > 0) & (F.col("copied") | agree)).select(
         "doc_id", "item_id", "offset", "windows", F.size("slots").alias("slots"),
         F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("renamed"))
 
