@@ -146,6 +146,17 @@ def test_products_equal_dense_ones():
     assert (turned.indices == sparse(left.T).indices).all()
 
 
+def test_fast_encoder_equals_the_other_on_plain_letters(encoders):
+    """Every letter that is left to the fast encoder, beside letters, digits, spaces."""
+    known = token_alignment.Tokenizers(*token_alignment.public_paths())
+    letters = [c for c in map(chr, range(0x10000))
+               if not 0xD800 <= ord(c) < 0xE000 and token_alignment.PLAIN.fullmatch(c)]
+    texts = [f" a{c} {c}{c}1{c}  {c}\n" for c in letters]
+    slow = [e.ids for e in encoders[0].encode_batch(texts, add_special_tokens=False)]
+    assert len(letters) > 20_000
+    assert [t for t, ids in zip(texts, slow) if known.fast.encode_ordinary(t) != ids] == []
+
+
 def test_alignment_of_an_empty_table(spark):
     assert token_alignment.aligned(documents(spark, [])).collect() == []
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.llm.common import (
-    CellFilter, query, rows_out, table, window_hashes, word_hashes, worker_cache,
+    CellFilter, query, rows_out, table, window_hashes, worker_cache,
 )
 from trovelake.plans.settle import settled
 
@@ -45,6 +45,7 @@ LEAST_WORDS = 3      # words of an item
 LEAST_LITERALS = 5   # words that are no placeholders, for a window to tell something
 SLOT_LITERALS = 3    # ... and to be looked at for its placeholders, beside such a window
 FILTER_CELLS = 1 << 22
+BLOCK_CHARACTERS = 1 << 19   # of texts that are hashed together
 
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 # Units that may follow a number.
@@ -135,32 +136,64 @@ def canonical(text: str) -> tuple[list[str], list[str | None]]:
     return words, values
 
 
-class Windows:
-    """Windows of a text by template, and by words and values."""
+class TextHashes(dict):
+    """text -> 64-bit hash; emptied when it holds ``limit`` texts."""
+
+    def __missing__(self, text: str) -> int:
+        import xxhash
+
+        if len(self) >= 200_000:
+            self.clear()
+        value = self[text] = xxhash.xxh3_64_intdigest(text)
+        return value
+
+
+def text_hashes() -> TextHashes:
+    cache = worker_cache("words")
+    if "texts" not in cache:
+        cache["texts"] = TextHashes()
+    return cache["texts"]
 
-    def __init__(self, text: str | None):
-        words, self.values = canonical(text or "")
-        self.length = len(words)
-        hashes = word_hashes()
-        self.template = hashes.array([w.encode() for w in words])
+
+class Windows:
+    """Windows of some texts by template, and by words and values. The texts stand
+    end to end, and a window lies within one."""
+
+    def __init__(self, keys: list, texts: list[str | None]):
+        self.keys, words, self.values, ends = keys, [], [], []
+        for text in texts:
+            if text:
+                own, values = canonical(text)
+                words += own
+                self.values += values
+            ends.append(len(words))
+        self.ends = np.array(ends, dtype=np.int64)
+        self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
+        known = text_hashes()
+        self.template = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         self.exact = self.template.copy()
         slots = [i for i, v in enumerate(self.values) if v is not None]
-        if slots:
-            # the word itself, whether its place makes it a name or not
-            self.exact[slots] = hashes.array([self.values[i].encode() for i in slots])
-        self.literal = np.cumsum([0] + [v is None for v in self.values])
-
-    def keys(self, width: int, exact: bool) -> np.ndarray:
-        return window_hashes(self.exact if exact else self.template, width)
-
-    def literals(self, width: int) -> np.ndarray:
-        return self.literal[width:] - self.literal[:-width]
-
-    def rows(self, key, width: int, exact: bool, places: np.ndarray,
-             keys: np.ndarray) -> Iterator[tuple]:
-        literals = self.literals(width)
-        for at in places.tolist():
-            yield (key, at, int(keys[at].astype(np.int64)), int(literals[at]), exact,
+        # the word itself, whether its place makes it a name or not
+        self.exact[slots] = np.fromiter(
+            (known[self.values[i]] for i in slots), np.uint64, len(slots))
+        is_literal = np.ones(len(words), dtype=np.int64)
+        is_literal[slots] = 0
+        self.literal = np.concatenate([[0], np.cumsum(is_literal)])
+        self.owner = np.repeat(np.arange(len(keys)), self.ends - self.starts)
+
+    def found(self, width: int, exact: bool, wanted) -> Iterator[tuple]:
+        """Rows of the windows whose hash ``wanted`` holds for."""
+        if width > len(self.owner):
+            return
+        hashed = window_hashes(self.exact if exact else self.template, width)
+        literals = self.literal[width:] - self.literal[:-width]
+        there = (self.owner[:len(hashed)] == self.owner[width - 1:]) & wanted(hashed)
+        if not exact:
+            there &= literals >= SLOT_LITERALS
+        for at in np.flatnonzero(there).tolist():
+            text = self.owner[at]
+            yield (self.keys[text], at - int(self.starts[text]), int(hashed[at].astype(np.int64)),
+                   int(literals[at]), exact,
                    [] if exact else [v for v in self.values[at:at + width] if v is not None])
 
 
@@ -182,14 +215,11 @@ def item_windows(items: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for key, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist()):
-                windows = Windows(text)
-                width = min(WIDTH, windows.length)
-                if width < LEAST_WORDS:
-                    continue
-                for exact in (False, True):
-                    keys = windows.keys(width, exact)
-                    places = np.flatnonzero(exact | (windows.literals(width) >= SLOT_LITERALS))
-                    rows += windows.rows(key, width, exact, places, keys)
+                windows = Windows([key], [text])
+                width = min(WIDTH, len(windows.owner))
+                if width >= LEAST_WORDS:
+                    for exact in (False, True):
+                        rows += windows.found(width, exact, lambda keys: np.True_)
             yield _batch(rows)
 
     known = items.where("item_id is not null").select("item_id", "text").distinct()
@@ -211,26 +241,31 @@ def short_widths(items: DataFrame, width: int = WIDTH) -> list[int]:
     return sorted(r.n for r in found)
 
 
+def blocks_of(keys: list, texts: list) -> Iterator[tuple[list, list]]:
+    """Some texts at a time, about BLOCK_CHARACTERS long together."""
+    start = size = 0
+    for number, text in enumerate(texts):
+        size += len(text) if text else 0
+        if size >= BLOCK_CHARACTERS or number + 1 == len(texts):
+            yield keys[start:number + 1], texts[start:number + 1]
+            start, size = number + 1, 0
+
+
 def candidate_windows(documents: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
     """Windows of documents whose hash may be among the wanted keys."""
     passing = CellFilter(wanted.select("key"), FILTER_CELLS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = passing.marks()
+
+        def wanted(keys: np.ndarray) -> np.ndarray:
+            return marks[(keys % np.uint64(FILTER_CELLS)).astype(np.int64)]
+
         for batch in batches:
-            rows: list[tuple] = []
-            for key, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                windows = Windows(text)
-                for width in widths:
-                    if width > windows.length:
-                        continue
-                    for exact in (False, True):
-                        keys = windows.keys(width, exact)
-                        there = marks[(keys % np.uint64(FILTER_CELLS)).astype(np.int64)]
-                        if not exact:
-                            there &= windows.literals(width) >= SLOT_LITERALS
-                        rows += windows.rows(key, width, exact, np.flatnonzero(there), keys)
-            yield _batch(rows)
+            for keys, texts in blocks_of(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                windows = Windows(keys, texts)
+                yield _batch([row for width in widths for exact in (False, True)
+                              for row in windows.found(width, exact, wanted)])
 
     known = documents.where("doc_id is not null").select("doc_id", "text")
     return known.mapInArrow(run, WINDOWS_DDL)
