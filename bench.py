@@ -33,7 +33,7 @@ HEADLINES = [
     "sql06_data_modified_partial", "str04_fold",
 ]
 RUNS = 3
-SECONDS = float(os.environ.get("BENCH_SECONDS", "900"))
+SECONDS = float(os.environ.get("BENCH_SECONDS", "600"))
 
 
 def timed(spark: SparkSession, folder: str, name: str) -> float:
