@@ -112,3 +112,44 @@ def test_records_of_empty_table(spark, tmp_path):
     folder = str(tmp_path / "none")
     token_records.written(documents(spark, []), folder, bpe_trie.vocabulary_path())
     assert token_records.read_back(spark, folder).collect() == []
+
+
+def packed_by(library, text):
+    return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_letters_and_a_stop_need_no_pattern(library):
+    own = bpe_trie.Encoder(bpe_trie.vocabulary_path())
+    asked, pattern = [], own.splitter.words
+
+    class Counted:
+        def findall(self, text):
+            asked.append(text)
+            return pattern.findall(text)
+
+    own.splitter.words = Counted()
+    text = "A word again. And again, a word; it's two 2s"
+    assert own.encoded([text, text]) == [packed_by(library, text)] * 2
+    assert sorted(asked) == [" 2s", " it's", "A"]
+
+
+@pytest.mark.parametrize("make", [bpe_trie.Encoder, token_records.LibraryEncoder])
+def test_texts_in_any_mixture_of_chunks(library, make):
+    rng = random.Random(1)
+    special = list(bpe_trie.Encoder(bpe_trie.vocabulary_path()).special)
+    parts = ["", " ", "  ", "a", "the", "end.", "so,", "é", "it's", "\n", "\t", "x.y", ".", "?!", "42",
+             "日本", " ", *special]
+    texts = [rng.choice(["", " "]).join(rng.choices(parts, k=rng.randrange(9))) for _ in range(300)]
+    own = make(bpe_trie.vocabulary_path())
+    assert own.encoded(texts) == [packed_by(library, t) for t in texts]
+    assert own.encoded([]) == []
+
+
+def test_decoder_keeps_texts_apart(library, monkeypatch):
+    monkeypatch.setattr(bpe_trie, "RUN_IDS", 3)
+    texts = ["", "a b c d e f g", "日本 and é", "", "x"]
+    cut = [packed_by(library, t)[4:] for t in texts]  # may start inside a letter
+    found = list(bpe_trie.Decoder(bpe_trie.vocabulary_path()).decoded(cut))
+    assert found == [library.decode(
+        np.frombuffer(c, dtype="<u4").tolist(), skip_special_tokens=False) for c in cut]
+    assert list(bpe_trie.Decoder(bpe_trie.vocabulary_path()).decoded([])) == []

@@ -10,7 +10,9 @@ is read off by stepping back from its node, a token at a time.
 
 Documents never leave their partition: every task splits its texts, encodes the
 words that its worker has not met lately, and joins the ids of the words. The
-memory of known words has a fixed size; forgetting only costs time.
+memory of known words has a fixed size; forgetting only costs time. Chunks between
+spaces are numbered per run of texts, so that only distinct ones are looked up, and
+the ids of the texts are laid out in one step.
 
 * A null text is taken as the empty text: no ids, empty decoded text.
 * Words of any length are encoded whole.
@@ -20,9 +22,9 @@ memory of known words has a fixed size; forgetting only costs time.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
-from collections.abc import Iterable, Iterator
+import struct
+from collections.abc import Collection, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ KNOWN_PAIRS = 200_000   # token pairs a worker remembers
 # The split pattern of byte-level BPE, tried in this order.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
            r"|\s+(?!\S)|\s+")
+STOPS = frozenset(".,;:!?")  # one of these at the end of a word is a word
+RUN_IDS = 500_000            # ids that are decoded at once, about
 
 
 def vocabulary_path() -> str:
@@ -66,9 +70,17 @@ class Splitter:
         self.words = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(
             regex.escape(t) for t in sorted(special, key=len, reverse=True)) or r"(?!)")
+        # whether letters after a space and a stop can hold no special token
+        self.plain = all(any(not (c.isalpha() or c == " " or c in STOPS) for c in t)
+                         for t in special)
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text; special tokens are words of their own."""
+        if self.plain and text.isascii() and text[:1] == " ":  # most need no pattern
+            if text[1:].isalpha():
+                return [text]
+            if text[-1] in STOPS and text[1:-1].isalpha():
+                return [text[:-1], text[-1]]
         if not self.special:
             return self.words.findall(text)
         out, at = [], 0
@@ -91,7 +103,7 @@ class Remembered:
         self.old: dict = {}
         self.limit = limit
 
-    def lacking(self, keys: set) -> list:
+    def lacking(self, keys: Collection) -> list:
         """The keys that are not known; the others are in ``new`` afterwards."""
         if len(self.new) + len(keys) > self.limit:
             self.old, self.new = self.new, {}
@@ -105,6 +117,24 @@ class Remembered:
         return out
 
 
+def raw_of(letters: dict[str, int], token: str) -> bytes:
+    return bytes([letters[c] for c in token])
+
+
+def tokens_of(content: dict) -> tuple[dict[bytes, int], dict[str, int], list[bytes]]:
+    """Ids of tokens, ids of special tokens, and the bytes of each id."""
+    letters = byte_letters()
+    special = {t["content"]: t["id"] for t in content["added_tokens"]}
+    vocabulary = content["model"]["vocab"]
+    ids = {raw_of(letters, t): i for t, i in vocabulary.items() if t not in special}
+    token_bytes = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+    for token, number in ids.items():
+        token_bytes[number] = token
+    for token, number in special.items():
+        token_bytes[number] = token.encode()
+    return ids, special, token_bytes
+
+
 class Vocabulary:
     """Tokens as bytes, merge ranks and special tokens of a vocabulary file."""
 
@@ -112,19 +142,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         letters = byte_letters()
-
-        def raw(token: str) -> bytes:
-            return bytes(letters[c] for c in token)
-
-        special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        vocabulary = content["model"]["vocab"]
-        self.ids = {raw(t): i for t, i in vocabulary.items() if t not in special}
-        self.special = special
-        self.token_bytes = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
-        for token, number in self.ids.items():
-            self.token_bytes[number] = token
-        for token, number in special.items():
-            self.token_bytes[number] = token.encode()
+        self.ids, self.special, self.token_bytes = tokens_of(content)
         self.token_lengths = [len(t) for t in self.token_bytes]
         # lengths of the tokens that end in the same (up to) three bytes, longest first
         lengths: dict[bytes, set[int]] = {}
@@ -134,7 +152,7 @@ class Vocabulary:
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(content["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            left, right = raw(left), raw(right)
+            left, right = raw_of(letters, left), raw_of(letters, right)
             self.merges[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
         self.pairs: dict[int, bool] = {}
 
@@ -204,6 +222,10 @@ class Vocabulary:
         return ids[::-1]
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Texts -> packed ids, with a bounded memory of chunks and words.
 
@@ -224,8 +246,9 @@ class Encoder:
 
     def encoded_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, packed."""
-        found = self.vocabulary.encode_words([w.encode() for w in words])
-        return [np.array(found[w.encode()], dtype="<u4").tobytes() for w in words]
+        content = [w.encode() for w in words]
+        found = self.vocabulary.encode_words(content)
+        return [packed_ids(found[w]) for w in content]
 
     def pieces_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that are split by the pattern as a whole."""
@@ -236,38 +259,61 @@ class Encoder:
             known = self.words.new
             known.update(zip(lacking, self.encoded_words(lacking)))
             known.update(self.special)
-            out += [b"".join(map(known.__getitem__, own)) for own in split]
+            out += [known[own[0]] if len(own) == 1 else b"".join(map(known.__getitem__, own))
+                    for own in split]
         return out
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [text.split(" ") for text in texts]
-        firsts = self.pieces_packed([own[0] for own in split])
-        asked: set[str] = set()
-        for own in split:
-            asked.update(own)
-        new = self.chunks.lacking(asked)
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        edges = split.offsets.to_numpy()
+        numbered = split.flatten().dictionary_encode()
+        chunks, numbers = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        new = self.chunks.lacking(chunks)
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
         known = self.chunks.new
         known.update(dict.fromkeys(new))
         known.update(zip(plain, self.pieces_packed([" " + c for c in plain])))
-        out: list[bytes | None] = []
-        for own, start in zip(split, firsts):
-            try:
-                if len(own) > 1 and (not own[0] or own[0][-1].isspace()):
-                    raise TypeError
-                out.append(start + b"".join(map(known.__getitem__, itertools.islice(own, 1, None))))
-            except TypeError:  # a chunk that cannot stand alone
-                out.append(None)
-        whole = [i for i, packed in enumerate(out) if packed is None]
+        # the first chunk of a text has no space before it
+        firsts, first = np.unique(numbers[edges[:-1]], return_inverse=True)
+        starts = [chunks[n] for n in firsts]
+        places = numbers.astype(np.int64)
+        places[edges[:-1]] = len(chunks) + first
+        laid = pa.array([*map(known.__getitem__, chunks), *self.pieces_packed(starts)],
+                        pa.large_binary()).take(pa.array(places))
+        ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[edges].tolist()
+        content = memoryview(laid.buffers()[2] or b"")
+        out = [bytes(content[a:b]) for a, b in zip(ends, ends[1:])]
+        # texts with a chunk that cannot stand alone
+        open_ = np.array([not c or c[-1].isspace() for c in starts], dtype=bool)
+        lacks = np.zeros(len(places) + 1, dtype=np.int64)
+        np.cumsum(laid.is_null().to_numpy(zero_copy_only=False), out=lacks[1:])
+        apart = (np.diff(lacks[edges]) > 0) | (open_[first] & (np.diff(edges) > 1))
+        whole = np.flatnonzero(apart).tolist()
         for i, packed in zip(whole, self.pieces_packed([texts[i] for i in whole])):
             out[i] = packed
         return out
 
-    def decoded(self, packed: bytes) -> str:
-        tokens = self.vocabulary.token_bytes
-        ids = np.frombuffer(packed, dtype="<u4").tolist()
-        return b"".join(map(tokens.__getitem__, ids)).decode("utf-8", errors="replace")
+
+class Decoder:
+    """Packed ids -> texts; it holds the bytes of the tokens and nothing else."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            self.tokens = pa.array(tokens_of(json.load(file))[2], pa.large_binary())
+
+    def decoded(self, packed: list[bytes]) -> Iterator[str]:
+        sizes = np.array([len(p) // 4 for p in packed], dtype=np.int64)
+        run = (np.cumsum(sizes) - sizes) // RUN_IDS
+        edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1)).tolist()
+        for start, end in zip(edges, edges[1:]):
+            ids = np.frombuffer(b"".join(packed[start:end]), dtype="<u4")
+            laid = self.tokens.take(pa.array(ids))
+            ends = np.concatenate([[0], np.cumsum(sizes[start:end])])
+            ends = np.frombuffer(laid.buffers()[1], dtype=np.int64)[ends].tolist()
+            content = memoryview(laid.buffers()[2] or b"")
+            for a, b in zip(ends, ends[1:]):
+                yield str(content[a:b], "utf-8", errors="replace")
 
 
 def encoder(path: str) -> Encoder:
@@ -278,6 +324,14 @@ def encoder(path: str) -> Encoder:
     return cache[path]
 
 
+def decoder(path: str) -> Decoder:
+    """The worker's decoder, beside the encoder: a worker serves one or the other."""
+    cache = worker_cache("encoders")
+    if (path, "decoder") not in cache:
+        cache[path, "decoder"] = Decoder(path)
+    return cache[path, "decoder"]
+
+
 def slices(batch: pa.RecordBatch, limit: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
     """(doc_ids, texts) of runs of rows of about ``limit`` bytes, or of one row."""
     texts = batch["text"]
@@ -311,15 +365,15 @@ def digested(ids: DataFrame, path: str) -> DataFrame:
     """Decode ids; (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        own = decoder(path)
         for batch in batches:
             packed = batch["ids"].to_pylist()
             yield rows_out(DIGESTS, {
                 "doc_id": batch["doc_id"].to_pylist(),
                 "n_tokens": [len(p) // 4 for p in packed],
                 "ids_sha256": [hashlib.sha256(p).hexdigest() for p in packed],
-                "decoded_sha256": [hashlib.sha256(own.decoded(p).encode()).hexdigest()
-                                   for p in packed],
+                "decoded_sha256": [hashlib.sha256(text.encode()).hexdigest()
+                                   for text in own.decoded(packed)],
             })
 
     return ids.mapInArrow(

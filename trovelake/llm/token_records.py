@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from trovelake.llm.bpe_trie import Encoder, slices, vocabulary_path
+from trovelake.llm.bpe_trie import Encoder, packed_ids, slices, vocabulary_path
 from trovelake.llm.common import query, rows_out, table, worker_cache
 from trovelake.session import shared_folder
 
@@ -69,7 +69,7 @@ class LibraryEncoder(Encoder):
 
     def encoded_words(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [packed_ids(e.ids) for e in found]
 
 
 def library_encoder(path: str) -> LibraryEncoder:
