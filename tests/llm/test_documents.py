@@ -5,6 +5,7 @@ import hashlib
 import json
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -492,3 +493,20 @@ def test_katz_without_training_texts(spark):
     assert {(r.n_tokens, r.n_known, r.train_tokens, r.score) for r in got} == {
         (3, 0, 0, 0.0), (1, 0, 0, 0.0)}
     assert katz_backoff.katz(documents(spark, []), F.lit(False)).collect() == []
+
+
+def test_katz_holds_the_words_of_one_text_at_a_time():
+    words = sorted([b"a", b"b%d" % 7, katz_backoff.END])
+    keys = katz_backoff.hashed(words)
+    order = np.argsort(keys)
+    numbers = np.arange(len(keys), dtype=np.uint32)
+    texts = [b"a b7 new " * 50] * 4000 + [b""]
+    tracemalloc.start()
+    tokens, sizes, end = katz_backoff.tokens_of(texts, keys[order], numbers[order])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    number = dict(zip(words, range(3))) | {b"new": int(katz_backoff.UNKNOWN)}
+    want = [number[w] for w in texts[0].split()] + [number[b""]]
+    assert tokens[:151].tolist() == want and tokens[-1] == end == number[b""]
+    assert sizes.tolist() == [151] * 4000 + [1] and len(tokens) == sizes.sum()
+    assert peak < 8 * len(tokens) + 2_000_000  # a list of words takes five times that
