@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import math
+import pickle
 import random
 import tracemalloc
 import zlib
@@ -510,3 +511,27 @@ def test_katz_holds_the_words_of_one_text_at_a_time():
     assert tokens[:151].tolist() == want and tokens[-1] == end == number[b""]
     assert sizes.tolist() == [151] * 4000 + [1] and len(tokens) == sizes.sum()
     assert peak < 8 * len(tokens) + 2_000_000  # a list of words takes five times that
+
+
+def test_katz_unfolds_the_pairs_of_one_slice_at_a_time():
+    rng, blobs, whole = np.random.default_rng(1), [], []
+    for row in range(20):
+        h = np.arange(1000, dtype=np.uint32)
+        n = rng.integers(1, 20, 1000).astype(np.uint32)
+        w = rng.integers(65_000, 66_000, n.sum()).astype(np.uint32)
+        doc = rng.integers(0, 50, n.sum()).astype(np.uint16)
+        wide = w >= 0xFFFF
+        blobs.append(pickle.dumps((30, h, n, np.where(wide, 0xFFFF, w).astype(np.uint16),
+                                   w[wide], doc)))
+        whole += zip(np.repeat(h, n).tolist(), w.tolist(), [row << 32 | int(d) for d in doc],
+                     (doc < 30).tolist())
+    peaks, got = [], []
+    for at in range(katz_backoff.SLICES):
+        tracemalloc.start()
+        slice_ = katz_backoff.pairs_of_slice(blobs, at)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        want = [p for p in whole if p[0] % katz_backoff.SLICES == at]
+        assert list(zip(*[x.tolist() for x in slice_])) == want
+        got += want
+    assert len(got) == len(whole) and max(peaks) < 17 * len(whole)  # all unfolded at once
