@@ -27,13 +27,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from trovelake.llm.common import as_bytes, held_out, query, rows_out, table, worker_cache
+from trovelake.llm.common import (
+    as_bytes, few_rows, held_out, query, rows_out, table, worker_cache,
+)
 
 FEATURES = [
     "log_bytes", "log_words", "word_bytes", "upper", "digits", "punctuation", "symbols",
@@ -196,7 +197,7 @@ def fitted(rows: np.ndarray, labels: np.ndarray) -> Model:
 
 
 def matrix(batch: pa.RecordBatch) -> np.ndarray:
-    rows = [features_of(t) for t in as_bytes(batch["text"])]
+    rows = [features_of(t) for few in few_rows(batch) for t in as_bytes(few["text"])]
     return np.array(rows, dtype=float).reshape(len(rows), len(FEATURES))
 
 
@@ -256,11 +257,11 @@ def accepted(documents: DataFrame, labels: DataFrame, training=None) -> DataFram
     """
     model = trained(documents, labels, training)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         worker_cache("quality")  # frees what an operator before has left
-        rows = [features_of(None if t is None else t.encode()) for t in texts]
-        return pd.Series(model.scores(np.array(rows, dtype=float).reshape(len(rows), len(FEATURES))))
+        rows = matrix(pa.RecordBatch.from_arrays([texts], names=["text"]))
+        return pa.array(model.scores(rows), type=pa.float64())
 
     kept = documents.select(F.struct("*").alias("row"), score("text").alias("score"))
     return kept.where(F.col("score") >= THRESHOLD).select("row.*")
