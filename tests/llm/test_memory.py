@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-from trovelake.llm import quality_gam, shingle_join
+from trovelake.llm import line_chunks, quality_gam, shingle_join
+from trovelake.llm.common import CellFilter
 
 TEXTS = [" ".join(f"w{i}x{j}" for j in range(250)) for i in range(4000)]
 BATCH = pa.RecordBatch.from_pydict({"doc_id": range(4000), "text": TEXTS})
@@ -20,6 +21,8 @@ class Task:
     def select(self, *columns):
         return self
 
+    where = select
+
     def mapInArrow(self, run, schema):
         return run(iter([BATCH]))
 
@@ -54,3 +57,22 @@ def test_sketches_add_up_to_all_shingles(monkeypatch):
 
 def test_features_are_made_of_few_texts_at_a_time():
     assert peak_mb(lambda: quality_gam.matrix(BATCH)) < 6
+
+
+def test_chunks_are_keyed_for_few_texts_at_a_time():
+    def work():
+        for _ in line_chunks.keys(Task()):
+            pass
+
+    assert peak_mb(work) < 4
+
+
+def test_filter_keeps_its_cells_packed(spark):
+    numbers = spark.createDataFrame([(n,) for n in (-7, 0, 5, 1 << 40)], "n long")
+    test = CellFilter(numbers, 1 << 24).test
+    kept = []
+    assert peak_mb(lambda: kept.append(test())) < 10
+    tried = np.array([-8, -7, 0, 1, 5, 6, 7, 1 << 40, (1 << 40) + 1, 5 - (1 << 24)])
+    assert kept[0](tried).tolist() == [
+        False, True, True, False, True, False, False, True, False, True]
+    assert kept[0](tried.astype(np.uint64)).tolist() == kept[0](tried).tolist()

@@ -33,13 +33,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.llm.common import (
-    CellFilter, as_bytes, mixed, query, rows_out, table, worker_cache,
+    CellFilter, as_bytes, few_rows, mixed, query, rows_out, table, worker_cache,
 )
 from trovelake.plans.settle import settled
 
@@ -107,7 +106,7 @@ def keys(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("lines")  # frees what an operator before has left
-        for batch in batches:
+        for batch in (few for whole in batches for few in few_rows(whole)):
             found = [np.zeros(0, dtype=np.int64)]
             for text in as_bytes(batch["text"]):
                 lines = text.split(b"\n") if text else []
@@ -124,15 +123,15 @@ def chunks(documents: DataFrame, passing: CellFilter) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("lines")  # frees what an operator before has left
-        marks = passing.marks()
-        for batch in batches:
+        passes = passing.test()
+        for batch in (few for whole in batches for few in few_rows(whole)):
             out: dict[str, list] = {name: [] for name in CHUNKS.names}
             size = 0
             for key, text in zip(batch["doc_id"].to_pylist(), as_bytes(batch["text"])):
                 lines = text.split(b"\n") if text else []
                 hashes = line_hashes(lines)
                 bounds = [b for b in bounds_of(lines, hashes) if b[2]]
-                for at in np.flatnonzero(marks[chunk_keys(hashes, bounds) % passing.cells]):
+                for at in np.flatnonzero(passes(chunk_keys(hashes, bounds))):
                     start, end, _ = bounds[at]
                     chunk = b"\n".join(lines[start:end])
                     if not chunk.strip():
@@ -143,7 +142,7 @@ def chunks(documents: DataFrame, passing: CellFilter) -> DataFrame:
                     out["digest"].append(hashlib.md5(chunk).digest())
                     out["chunk"].append(chunk)
                     size += len(chunk)
-                if size > 8_000_000:
+                if size > 2_000_000:
                     yield rows_out(CHUNKS, out)
                     out, size = {name: [] for name in CHUNKS.names}, 0
             yield rows_out(CHUNKS, out)
@@ -192,14 +191,23 @@ def without(text: str | None, first, last, digest) -> tuple[str | None, int, int
     return "\n".join(x for i, x in enumerate(lines) if i not in drop), len(drop), words
 
 
+CUT = pa.struct([("text", pa.string()), ("removed_lines", pa.int64()),
+                 ("removed_words", pa.int64())])
+
+
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents' columns with ``text`` cut, in a struct ``row``, beside
     doc_id, had_text, removed_lines and removed_words."""
 
-    @F.pandas_udf("text string, removed_lines long, removed_words long")
-    def cut(texts: pd.Series, first: pd.Series, last: pd.Series, digest: pd.Series) -> pd.DataFrame:
-        rows = [without(*row) for row in zip(texts, first, last, digest)]
-        return pd.DataFrame(rows, columns=["text", "removed_lines", "removed_words"])
+    @F.arrow_udf("text string, removed_lines long, removed_words long")
+    def cut(texts: pa.Array, first: pa.Array, last: pa.Array, digest: pa.Array) -> pa.Array:
+        whole = pa.RecordBatch.from_arrays(
+            [texts, first, last, digest], names=["text", "first", "last", "digest"])
+        out = [pa.array([], type=CUT)]
+        for few in few_rows(whole):
+            rows = [without(*row) for row in zip(*(c.to_pylist() for c in few.columns))]
+            out.append(pa.array([dict(zip(CUT.names, row)) for row in rows], type=CUT))
+        return pa.concat_arrays(out)
 
     # a document has no more spans than chunks
     spans = removed_spans(documents).groupBy("doc_id").agg(

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trovelake.llm.common import (
-    CellFilter, query, rows_out, table, window_hashes, worker_cache,
+    CellFilter, few_rows, query, rows_out, table, window_hashes, worker_cache,
 )
 from trovelake.plans.settle import settled
 
@@ -256,12 +256,8 @@ def candidate_windows(documents: DataFrame, wanted: DataFrame, widths: list[int]
     passing = CellFilter(wanted.select("key"), FILTER_CELLS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = passing.marks()
-
-        def wanted(keys: np.ndarray) -> np.ndarray:
-            return marks[(keys % np.uint64(FILTER_CELLS)).astype(np.int64)]
-
-        for batch in batches:
+        wanted = passing.test()
+        for batch in (few for whole in batches for few in few_rows(whole)):
             for keys, texts in blocks_of(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
                 windows = Windows(keys, texts)
                 yield _batch([row for width in widths for exact in (False, True)
